@@ -1,0 +1,36 @@
+"""Broadcast only what was measured to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4}
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Rough in-memory width of a row of flat columns (strings taken as 32 bytes)."""
+    return 16 + sum(
+        32 if isinstance(f.dataType, T.StringType) else max(8, _WIDTH.get(type(f.dataType), 8))
+        for f in df.schema.fields
+    )
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast when a bounded count proves that it fits.
+
+    The count stops at the first row past the limit. A larger side comes back
+    without a hint, so the join shuffles and adaptive execution handles skew.
+    Use on flat columns only: the width of an array is not known beforehand.
+    """
+    if is_small(df, max_bytes):
+        return F.broadcast(df)
+    return df
+
+
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    limit = max(1, max_bytes // row_bytes(df))
+    return df.limit(limit + 1).count() <= limit
