@@ -25,6 +25,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def int_div(a: Column, b: int) -> Column:
+    """Integer quotient, rounded toward zero, without a detour through doubles."""
+    return F.call_function("div", a, F.lit(b)).cast("int")
+
+
 def minute_of_day(time: Column | str) -> Column:
     """Minutes since midnight."""
     t = _col(time)
@@ -33,7 +38,7 @@ def minute_of_day(time: Column | str) -> Column:
 
 def label_of_minute(minutes: Column) -> Column:
     """Minutes since midnight -> ``HHMM``."""
-    return F.lpad((F.floor(minutes / 60) * 100 + minutes % 60).cast("string"), 4, "0")
+    return F.lpad((int_div(minutes, 60) * 100 + minutes % 60).cast("string"), 4, "0")
 
 
 def hhmm(time: Column | str) -> Column:
@@ -42,6 +47,11 @@ def hhmm(time: Column | str) -> Column:
     return F.lpad((F.hour(t) * 100 + F.minute(t)).cast("string"), 4, "0")
 
 
+def minute_of(slot: str) -> int:
+    """``HHMM`` argument -> minutes since midnight."""
+    return int(slot[:2]) * 60 + int(slot[2:])
+
+
 def slot_minute(slot: Column | str) -> Column:
     """``HHMM`` -> minutes since midnight."""
     s = _col(slot)
@@ -50,8 +60,7 @@ def slot_minute(slot: Column | str) -> Column:
 
 def at_minute(date: Column | str, minutes: Column) -> Column:
     """Date + minutes since midnight -> ``timestamp_ntz``."""
-    zero = F.lit(0)
-    return _col(date).cast("timestamp_ntz") + F.make_dt_interval(zero, zero, minutes.cast("int"), F.lit(0).cast("decimal(18,6)"))
+    return _col(date).cast("timestamp_ntz") + F.expr("INTERVAL '1' MINUTE") * minutes
 
 
 def at_slot(date: Column | str, slot: Column | str) -> Column:
@@ -61,10 +70,9 @@ def at_slot(date: Column | str, slot: Column | str) -> Column:
 
 def in_session(time: Column | str) -> Column:
     """True for right-labelled bars of either session, both ends closed."""
-    m = minute_of_day(time)
-    return m.between(MORNING_OPEN + 1, MORNING_OPEN + SESSION_MINUTES) | m.between(
-        AFTERNOON_OPEN + 1, AFTERNOON_OPEN + SESSION_MINUTES
-    )
+    # One set lookup rather than four comparisons: the minute is computed once per row.
+    minutes = [o + 1 + i for o in (MORNING_OPEN, AFTERNOON_OPEN) for i in range(SESSION_MINUTES)]
+    return minute_of_day(time).isin(minutes)
 
 
 def slot_position(slot: Column | str) -> Column:
@@ -92,6 +100,6 @@ def add_session_minutes(slot: Column | str, days: Column, minutes: Column) -> tu
     """
     target = slot_position(slot) + minutes
     return (
-        (F.floor(target / DAY_MINUTES) + days).cast("int"),
+        (int_div(target, DAY_MINUTES) + days).cast("int"),
         slot_at_position((target % DAY_MINUTES).cast("int")),
     )

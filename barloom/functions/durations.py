@@ -38,4 +38,4 @@ def duration_minutes(text: Column | str) -> Column:
 def split_duration(text: Column | str) -> tuple[Column, Column]:
     """(days, minutes) columns of a duration column, NULL where it does not parse."""
     total = duration_minutes(text)
-    return F.floor(total / MINUTES_PER_DAY).cast("bigint"), total % MINUTES_PER_DAY
+    return F.call_function("div", total, F.lit(MINUTES_PER_DAY)), total % MINUTES_PER_DAY

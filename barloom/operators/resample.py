@@ -11,15 +11,19 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.clock import hhmm, in_session, label_of_minute, minute_of_day
+from barloom.functions.clock import in_session, int_div, minute_of, minute_of_day
 from barloom.functions.slots import TEN_MINUTE_SLOTS
 from barloom.functions.values import require_columns
 
 KEYS = ("date", "symbol")
+# Bars aggregated side by side. Each has a mean (two buffer fields) and a deviation (three), and
+# generated code stops at 100 fields a row.
+BLOCK = 12
 
 STATS = {
     "mean": F.avg,
@@ -53,9 +57,18 @@ def stat_columns(bars: Iterable[str], ops: Sequence[str] = ALL_STATS) -> list[Co
     return [STATS[o](F.col(b)).alias(f"{b}_{o}") for b, o in itertools.product(bars, ops)]
 
 
-def ten_minute_end(time: Column | str) -> Column:
-    """End minute of the ten-minute window [hh:m1, hh:m1 + 9 min] a time would belong to."""
-    return (F.floor((minute_of_day(time) - 1) / 10).cast("int") + 1) * 10
+def window_number(time: Column | str) -> Column:
+    """Number in the day of the ten-minute window [hh:m1, hh:m1 + 9 min] a time would belong to."""
+    return int_div(minute_of_day(time) - 1, 10)
+
+
+def window_label(number: Column) -> Column:
+    """End of the n-th ten-minute window of the day as ``HHMM``.
+
+    Looked up, so that a filter on the label costs little where it is pushed to.
+    """
+    ends = [10 * (i + 1) for i in range(143)]
+    return F.get(F.array(*[F.lit(f"{e // 60:02d}{e % 60:02d}") for e in ends]), number)
 
 
 def inside_window(time: Column | str) -> Column:
@@ -64,38 +77,93 @@ def inside_window(time: Column | str) -> Column:
     return (F.minute(t) % 10 != 0) | (F.date_part(F.lit("SECOND"), t) == 0)
 
 
-def resample_long(
-    bars_1m: DataFrame,
-    bars: Sequence[str] | None = None,
-    ops: Sequence[str] = MEAN_STD,
-    seen: str | None = None,
-) -> DataFrame:
-    """(date, symbol, slot, {bar}_{op}..., count): one row per symbol-day and ten-minute slot.
+@dataclass(frozen=True)
+class BlockStats:
+    """Ten-minute statistics, a block of bars per row.
+
+    ``rows`` has (date, symbol, window, block, v{i}_{op}..., count, seen): the
+    i-th bar of a block under a neutral name, so that any number of bars
+    aggregates with the same few columns.
+    """
 
-    ``seen`` names an extra column that also counts the bars between a window
-    and the next one, which no statistic includes.
+    rows: DataFrame
+    bars: tuple[str, ...]
+    ops: tuple[str, ...]
+
+    @property
+    def blocks(self) -> list[tuple[str, ...]]:
+        return list(itertools.batched(self.bars, BLOCK))
+
+    @property
+    def values(self) -> list[str]:
+        return stat_names([f"v{i}" for i in range(min(BLOCK, len(self.bars)))], self.ops)
+
+
+def resample_blocks(
+    bars_1m: DataFrame, bars: Sequence[str], ops: Sequence[str] = MEAN_STD, outside: bool = False
+) -> BlockStats:
+    """Ten-minute statistics of one-minute bars, in blocks of at most 12 bars.
+
+    Hundreds of aggregates in one row are beyond generated code: a row is
+    therefore first cut into blocks, each aggregated by (symbol-day, window,
+    block). With few bars there is one block and nothing is cut. ``count`` is
+    the number of bars in the window. With ``outside``, bars between a window
+    and the next are counted too, as ``seen``; no statistic includes them.
     """
-    require_columns(bars_1m, ("time", *KEYS))
+    require_columns(bars_1m, ("time", *KEYS, *bars))
+    stats = BlockStats(bars_1m, tuple(bars), tuple(ops))
+    names = [f"v{i}" for i in range(min(BLOCK, len(stats.bars)))]
+    rows = bars_1m.where(in_session("time"))
+    if not outside:
+        rows = rows.where(inside_window("time"))
+    rows = rows.withColumns({"window": window_number("time"), "__in": inside_window("time") if outside else F.lit(True)})
+
+    def cell(bar: str) -> str:
+        value = f"CAST(`{bar}` AS DOUBLE)"
+        return f"IF(__in, {value}, NULL)" if outside else value
+
+    def fields(n: int, block: Sequence[str]) -> list[str]:
+        blanks = ["CAST(NULL AS DOUBLE)"] * (len(names) - len(block))
+        return [f"{n} AS block", *[f"{c} AS {v}" for c, v in zip([*map(cell, block), *blanks], names)]]
+
+    cut = [fields(n, block) for n, block in enumerate(stats.blocks)]
+    if len(cut) > 1:
+        cut = [[f"inline(array({', '.join(f'struct({", ".join(f)})' for f in cut)}))"]]
+    flat = rows.selectExpr(*KEYS, "window", "__in", *cut[0])
+    counts = [F.count_if("__in").alias("count"), *([F.count(F.lit(1)).alias("seen")] if outside else [])]
+    return replace(stats, rows=flat.groupBy(*KEYS, "window", "block").agg(*stat_columns(names, ops), *counts))
+
+
+def resample_long(
+    bars_1m: DataFrame, bars: Sequence[str] | None = None, ops: Sequence[str] = MEAN_STD
+) -> DataFrame:
+    """(date, symbol, slot, {bar}_{op}..., count): one row per symbol-day and ten-minute slot."""
     if bars is None:
         bars = [c for c in bars_1m.columns if c not in ("time", *KEYS)]
-    rows = bars_1m.select(*KEYS, "time", *bars).where(in_session("time"))
-    inside, extra = inside_window("time"), []
-    if seen is None:
-        rows = rows.where(inside)
-    else:
-        rows = rows.select(
-            *KEYS, "time", F.when(inside, F.lit(1)).alias("__in"), *[F.when(inside, F.col(b)).alias(b) for b in bars]
-        )
-        extra = [F.count("time").alias(seen)]
-    counted = F.count("time" if seen is None else "__in").alias("count")
-    stats = rows.groupBy(*KEYS, ten_minute_end("time").alias("__end")).agg(*stat_columns(bars, ops), counted, *extra)
-    return stats.select(
-        *KEYS,
-        label_of_minute(F.col("__end")).alias("slot"),
-        *stat_names(bars, ops),
-        "count",
-        *([seen] if seen else []),
-    )
+    stats = resample_blocks(bars_1m, bars, ops)
+    slot = window_label(F.col("window")).alias("slot")
+    rows = stats.rows.where(F.col("count") > 0)
+    if len(stats.blocks) == 1:
+        names = zip(stats.values, stat_names(bars, ops))
+        return rows.select(*KEYS, slot, *[F.col(v).alias(n) for v, n in names], "count")
+    # Put the blocks of a window side by side again.
+    placed = rows.repartition(*[F.col(k) for k in KEYS])
+    side = _side_by_side(placed, "block", range(len(stats.blocks)), [*stats.values, "count"], [*KEYS, "window"])
+    picked = [
+        f"`{n}_v{i}_{op}` AS `{bar}_{op}`" for n, block in enumerate(stats.blocks) for i, bar in enumerate(block) for op in ops
+    ]
+    return side.withColumn("slot", window_label(F.col("window"))).selectExpr(*KEYS, "slot", *picked, "0_count AS count")
+
+
+def _side_by_side(
+    rows: DataFrame, cell: str, cells: Iterable, values: Sequence[str], index: Sequence[str]
+) -> DataFrame:
+    """Pivot with columns ``{cell}_{value}``; rows are already placed by (part of) the index."""
+    wide = rows.groupBy(*index).pivot(cell, list(cells)).agg(*[F.first(F.col(f"`{v}`")).alias(v) for v in values])
+    if len(values) > 1:
+        return wide
+    # With one value Spark leaves its name out.
+    return wide.toDF(*index, *[f"{c}_{values[0]}" for c in cells])
 
 
 def widen(
@@ -109,16 +177,36 @@ def widen(
     The rows are first placed by the index, so both steps of the pivot run
     inside one partitioning and wide rows are never shuffled.
     """
-    slots = list(slots)
     placed = long.select(*index, "slot", *values).repartition(*[F.col(c) for c in index])
-    firsts = [F.first(F.col(v)).alias(v) for v in values]
-    wide = placed.groupBy(*index).pivot("slot", slots).agg(*firsts)
-    # Spark names the cells {slot}_{value}, or {slot} alone when there is one value.
-    return wide.select(
-        *index,
+    wide = _side_by_side(placed, "slot", slots, values, index)
+    return wide.selectExpr(*index, *[f"`{s}_{v}` AS `{v}_{s}`" for v in values for s in slots])
+
+
+def widen_blocks(
+    stats: BlockStats, slots: Sequence[str] = TEN_MINUTE_SLOTS, as_float: bool = False, placed: bool = False
+) -> DataFrame:
+    """Block statistics -> wide rows ``{bar}_{op}_{slot}``, without making long rows in between.
+
+    Values are narrowed to 32 bits before they are moved when ``as_float``.
+    ``placed`` says that the rows already lie by (date, symbol).
+    """
+    n = len(stats.blocks)
+    kind = "float" if as_float else "double"
+    rows = stats.rows.where(F.col("count") > 0).select(
+        *KEYS, (F.col("window") * n + F.col("block")).alias("cell"), *[F.col(v).cast(kind).alias(v) for v in stats.values]
+    )
+    if not placed:
+        rows = rows.repartition(*[F.col(k) for k in KEYS])
+    first = {s: (minute_of(s) // 10 - 1) * n for s in slots}
+    wide = _side_by_side(rows, "cell", [first[s] + b for s in slots for b in range(n)], stats.values, KEYS)
+    return wide.selectExpr(
+        *KEYS,
         *[
-            F.col(f"`{s}_{v}`" if len(values) > 1 else f"`{s}`").alias(f"{v}_{s}")
-            for v, s in itertools.product(values, slots)
+            f"`{first[s] + b}_v{i}_{op}` AS `{bar}_{op}_{s}`"
+            for b, block in enumerate(stats.blocks)
+            for i, bar in enumerate(block)
+            for op in stats.ops
+            for s in slots
         ],
     )
 
@@ -148,8 +236,7 @@ def windows_complete(long: DataFrame, expected: int = 10) -> DataFrame:
 
 def bars_at(bars_1m: DataFrame, slots: Sequence[str], time: str = "time") -> DataFrame:
     """Only the bars whose minute is one of the given ``HHMM`` labels."""
-    minutes = [int(s[:2]) * 60 + int(s[2:]) for s in slots]
-    return bars_1m.where(minute_of_day(time).isin(minutes))
+    return bars_1m.where(minute_of_day(time).isin([minute_of(s) for s in slots]))
 
 
 def complete_symbols(bars_1m: DataFrame, slots: Sequence[str]) -> DataFrame:
@@ -170,9 +257,10 @@ def slot_values(
     bars_1m: DataFrame, slots: Sequence[str], value: str = "close", index: Sequence[str] = KEYS
 ) -> DataFrame:
     """One row per index with the value at each slot, columns named by the slot."""
-    at = hhmm("time")
-    return (
-        bars_at(bars_1m.select(*index, "time", value), slots)
-        .groupBy(*index)
-        .agg(*[F.max(F.when(at == s, F.col(value))).alias(s) for s in slots])
-    )
+    rows = bars_at(bars_1m, slots).select(*index, value, minute_of_day("time").alias("__m"))
+    return rows.groupBy(*index).agg(*[value_at(s, value).alias(s) for s in slots])
+
+
+def value_at(slot: str, value: str, minute: str = "__m") -> Column:
+    """Aggregate: the value of the bar at a slot, given the column with each bar's minute of the day."""
+    return F.max(F.when(F.col(minute) == minute_of(slot), F.col(value)))

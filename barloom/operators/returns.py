@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from barloom.functions.clock import hhmm, minute_of_day
+from barloom.functions.clock import minute_of, minute_of_day
 from barloom.functions.durations import parse_duration
 from barloom.functions.slots import ONE_MINUTE_SLOTS
 from barloom.functions.values import prefixed, require_columns, simple_return
-from barloom.operators.resample import KEYS, slot_values
+from barloom.operators.bounded import broadcast_if_small
+from barloom.operators.resample import KEYS, slot_values, value_at
 
 # The eight half hours, entered five minutes late, as (begin, end).
 HALF_HOURS = (
@@ -29,6 +30,11 @@ HALF_HOURS = (
 HORIZONS = (1, 2, 3, 5)
 
 
+def adjusted_bars(bars_1m: DataFrame, factors: DataFrame) -> DataFrame:
+    """Minute bars with the daily adjustment factor of their symbol."""
+    return bars_1m.join(broadcast_if_small(factors.select(*KEYS, "adj_factor")), list(KEYS), "left")
+
+
 def _named(slot: str) -> str:
     """0935 -> 0930, 1305 -> 1300: the slot a window is named after."""
     return f"{int(slot) - 5:04d}"
@@ -80,25 +86,22 @@ def pairwise_returns(
     return prices.select(*KEYS, *span_returns(prices, spans))
 
 
-def vwap_columns(windows: Iterable[tuple[str, str]], amount: str = "amount", volume: str = "volume") -> list[Column]:
+def vwap_columns(windows: Iterable[tuple[str, str]], minute: str = "__m") -> list[Column]:
     """Volume-weighted average price of the bars after ``begin`` up to ``end``, per window."""
-    at = hhmm("time")
-    return [
-        F.try_divide(
-            F.sum(F.when((at > b) & (at <= e), F.col(amount))),
-            F.sum(F.when((at > b) & (at <= e), F.col(volume))),
-        ).alias(f"vwap_{b}_{e}")
-        for b, e in windows
-    ]
+    m = F.col(minute)
+
+    def total(value: str, begin: str, end: str) -> Column:
+        return F.sum(F.when((m > minute_of(begin)) & (m <= minute_of(end)), F.col(value)))
+
+    return [F.try_divide(total("amount", b, e), total("volume", b, e)).alias(f"vwap_{b}_{e}") for b, e in windows]
 
 
 def interval_vwap(bars_1m: DataFrame, windows: Sequence[tuple[str, str]] = HALF_HOURS) -> DataFrame:
     """(date, symbol, vwap_{begin}_{end}...); NULL where nothing was traded."""
     require_columns(bars_1m, ("time", "amount", "volume", *KEYS))
-    m = minute_of_day("time")
-    lo = min(int(b[:2]) * 60 + int(b[2:]) for b, _ in windows)
-    hi = max(int(e[:2]) * 60 + int(e[2:]) for _, e in windows)
-    return bars_1m.where((m > lo) & (m <= hi)).groupBy(*KEYS).agg(*vwap_columns(windows))
+    rows = bars_1m.select(*KEYS, "amount", "volume", minute_of_day("time").alias("__m"))
+    first, last = min(minute_of(b) for b, _ in windows), max(minute_of(e) for _, e in windows)
+    return rows.where((F.col("__m") > first) & (F.col("__m") <= last)).groupBy(*KEYS).agg(*vwap_columns(windows))
 
 
 def price_table(
@@ -108,9 +111,9 @@ def price_table(
     price: str = "close",
 ) -> DataFrame:
     """Slot prices (named by slot) and interval VWAPs of a symbol-day in one aggregate."""
-    at = hhmm("time")
-    return bars_1m.select(*KEYS, "time", price, "amount", "volume").groupBy(*KEYS).agg(
-        *[F.max(F.when(at == s, F.col(price))).alias(s) for s in close_slots], *vwap_columns(vwap_windows)
+    rows = bars_1m.select(*KEYS, price, "amount", "volume", minute_of_day("time").alias("__m"))
+    return rows.groupBy(*KEYS).agg(
+        *[value_at(s, price).alias(s) for s in close_slots], *vwap_columns(vwap_windows)
     )
 
 

@@ -26,7 +26,7 @@ def join_dataset(universe: DataFrame, features: DataFrame, returns: DataFrame, l
     keys = list(KEYS)
     narrow = universe.join(returns, keys, "left").join(lag_returns, keys, "left")
     rest = [c for t in (universe, features, returns, lag_returns) for c in t.columns if c not in keys]
-    return narrow.join(features, keys, "left").select(*keys, *[F.col(f"`{c}`") for c in rest])
+    return narrow.join(features, keys, "left").selectExpr(*keys, *[f"`{c}`" for c in rest])
 
 
 def only_dates(df: DataFrame, dates: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def dataset_rows(
     if dates is None:
         dates = ready_dates(bars_1m, universe, returns, lag_returns)
     bars_1m, universe, returns, lag_returns = (only_dates(t, dates) for t in (bars_1m, universe, returns, lag_returns))
-    features = downsample_wide(bars_1m, bars, slots).select(*KEYS, *wide_columns(bars, slots))
+    features = downsample_wide(bars_1m, bars, slots).selectExpr(*KEYS, *[f"`{c}`" for c in wide_columns(bars, slots)])
     return numeric_to_float(join_dataset(universe, features, returns, lag_returns))
 
 

@@ -3,22 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barloom.functions.slots import TEN_MINUTE_SLOTS, trading_slots
-from barloom.functions.values import nan_to_null, numeric_to_float
+from barloom.functions.values import nan_to_null
 from barloom.operators.bounded import is_small
-from barloom.operators.resample import (
-    KEYS,
-    MEAN_STD,
-    bars_at,
-    resample_long,
-    stat_names,
-    widen,
-)
+from barloom.operators.resample import KEYS, MEAN_STD, bars_at, resample_blocks, widen_blocks
 
 
 def downsample_wide(
@@ -27,17 +21,17 @@ def downsample_wide(
     """1-minute bars -> one row per symbol-day with ``{bar}_{mean|std}_{slot}`` as 32-bit floats."""
     if bars is None:
         bars = [c for c in bars_1m.columns if c not in ("time", *KEYS)]
-    long = resample_long(bars_1m, bars, MEAN_STD)
-    return numeric_to_float(widen(long, stat_names(bars, MEAN_STD), slots))
+    return widen_blocks(resample_blocks(bars_1m, bars, MEAN_STD), slots, as_float=True)
 
 
-def online_long(
+def online_features(
     bars_1m: DataFrame,
     bars: Sequence[str],
     slot_range: tuple[str, str],
     universe: DataFrame | None = None,
+    fill_nan: bool = True,
 ) -> DataFrame:
-    """Ten-minute mean and std of the symbol-days with every one-minute bar of the range.
+    """Wide features of the symbol-days with every one-minute bar of the range.
 
     ``universe`` holds the (date, symbol) members. Membership is applied to the
     minute bars when it is small enough to broadcast, otherwise to the
@@ -49,28 +43,15 @@ def online_long(
     small = universe is not None and is_small(universe.select(*KEYS))
     if small:
         rows = rows.join(F.broadcast(universe.select(*KEYS)), list(KEYS), "left_semi")
-    # Bars between two windows count for completeness, though no window holds them.
-    long = resample_long(rows, bars, MEAN_STD, seen="__seen")
-    placed = long.repartition(*[F.col(k) for k in KEYS])
+    stats = resample_blocks(rows, bars, MEAN_STD, outside=True)
+    placed = stats.rows.repartition(*[F.col(k) for k in KEYS])
     if universe is not None and not small:
         placed = placed.join(universe.select(*KEYS), list(KEYS), "left_semi")
-    day = W.partitionBy(*KEYS)  # at most 24 rows: one per slot
-    counted = placed.withColumn("__bars", F.sum("__seen").over(day))
-    whole = (F.col("__bars") == len(minutes)) & (F.col("count") > 0)
-    return counted.where(whole).drop("__bars", "__seen")
-
-
-def online_features(
-    bars_1m: DataFrame,
-    bars: Sequence[str],
-    slot_range: tuple[str, str],
-    universe: DataFrame | None = None,
-    fill_nan: bool = True,
-) -> DataFrame:
-    """Wide online features of complete symbol-days."""
-    long = online_long(bars_1m, bars, slot_range, universe)
+    # A symbol-day has at most 24 windows of a few blocks; the first block tells its bars.
+    seen = F.sum(F.when(F.col("block") == 0, F.col("seen"))).over(W.partitionBy(*KEYS))
+    whole = placed.withColumn("__seen", seen).where(F.col("__seen") == len(minutes)).drop("__seen")
     slots = trading_slots(*slot_range, freq=10, closed="right")
-    wide = widen(long, stat_names(bars, MEAN_STD), slots)
+    wide = widen_blocks(replace(stats, rows=whole), slots, placed=True)
     return nan_to_null(wide) if fill_nan else wide
 
 
@@ -87,8 +68,7 @@ def slot_range_features(
     """
     slots = trading_slots(*slot_range, freq=10, closed="right")
     rows = bars_at(bars_1m, trading_slots(*slot_range, closed="right"))
-    wide = widen(resample_long(rows, bars, MEAN_STD), stat_names(bars, MEAN_STD), slots)
+    wide = widen_blocks(resample_blocks(rows, bars, MEAN_STD), slots)
     if universe is not None:
         wide = universe.select(*KEYS).join(wide, list(KEYS), "left")
     return nan_to_null(wide) if fill_nan else wide
-

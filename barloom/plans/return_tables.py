@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from barloom.operators.bounded import broadcast_if_small
 from barloom.operators.resample import KEYS
 from barloom.operators.returns import (
     HALF_HOURS,
@@ -19,11 +18,6 @@ from barloom.operators.returns import (
 )
 
 
-def adjusted_bars(bars_1m: DataFrame, factors: DataFrame) -> DataFrame:
-    """Minute bars with the daily adjustment factor of their symbol."""
-    return bars_1m.join(broadcast_if_small(factors.select(*KEYS, "adj_factor")), list(KEYS), "left")
-
-
 def return_table(
     bars_1m: DataFrame,
     calendar: DataFrame,

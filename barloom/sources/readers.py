@@ -98,7 +98,7 @@ def read_dataset(
     df = open_table(spark, source, **options)
     if universe:
         df = df.where(F.col(universe))
-    df = df.select(*columns)
+    df = df.selectExpr(*[f"`{c}`" for c in columns])
     if date_range is not None:
         if date_col is None:
             raise ValueError("a date range needs date_col")

@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _date(p: Column) -> Column:
-    week = F.floor(p / 5) * 7 + p % 5
+    week = F.call_function("div", p, F.lit(5)) * 7 + p % 5
     return F.date_add(F.lit("2024-01-08").cast("date"), week.cast("int"))
 
 
@@ -34,20 +34,23 @@ def bar_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute bars from lineitem. First and last trade are taken by a key that is a total order."""
     price = F.col("l_extendedprice") / F.col("l_quantity")
     order = (
-        F.floor(F.col("l_orderkey") / 240) * 10_000_000_000
+        F.call_function("div", F.col("l_orderkey"), F.lit(240)) * 10_000_000_000
         + F.round(F.col("l_extendedprice") * 100).cast("bigint") * 100
         + F.col("l_quantity").cast("bigint")
     )
+    p, k = F.col("l_partkey") % 12, F.col("l_orderkey") % 240
     trades = table(spark, sf_dir, "lineitem").select(
-        (F.col("l_partkey") % 12).alias("p"),
-        (F.col("l_orderkey") % 240).alias("k"),
-        F.floor(F.col("l_suppkey") / 20).alias("g"),
+        p.alias("p"),
+        k.alias("k"),
+        at_minute(_date(p), 571 + k + F.when(k >= 120, 90).otherwise(0)).alias("time"),
+        F.call_function("div", F.col("l_suppkey"), F.lit(20)).alias("g"),
         order.alias("ord"),
         price.alias("price"),
         "l_quantity",
         "l_extendedprice",
     )
     bars = trades.groupBy("p", "k", "g").agg(
+        F.min("time").alias("time"),
         F.min_by("price", "ord").alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
@@ -56,10 +59,7 @@ def bar_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_extendedprice").alias("amount"),
         F.count(F.lit(1)).alias("total_trades"),
     )
-    k = F.col("k")
-    date = _date(F.col("p"))
-    minute = 571 + k + F.when(k >= 120, 90).otherwise(0)
-    return bars.select(date.alias("date"), _symbol(F.col("g")).alias("symbol"), at_minute(date, minute).alias("time"), *BARS)
+    return bars.select(_date(F.col("p")).alias("date"), _symbol(F.col("g")).alias("symbol"), "time", *BARS)
 
 
 def nan_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _symbol_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy((F.col("l_partkey") % 12).alias("p"), F.floor(F.col("l_suppkey") / 20).alias("g"))
+        .groupBy((F.col("l_partkey") % 12).alias("p"), F.call_function("div", F.col("l_suppkey"), F.lit(20)).alias("g"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -151,7 +151,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     # A glob, because a stream reads folders or patterns, not a single file.
     rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
-    symbol = F.concat(F.lit("U"), F.lpad(F.floor(F.col("user_id") / 50).cast("string"), 6, "0"))
+    symbol = F.concat(F.lit("U"), F.lpad(F.call_function("div", F.col("user_id"), F.lit(50)).cast("string"), 6, "0"))
     return rows.select(F.col("ts").cast("timestamp").alias("time"), symbol.alias("symbol"), "value")
 
 

@@ -156,9 +156,10 @@ def universe_members(spark, sf_dir):
     return readers.read_universe(spark, fx.univ(spark, sf_dir), "euniv_largemid", "2024-01-09", "2024-01-16")
 
 
-@query("SELECT b.*, f.adj_factor FROM bar_1m b LEFT JOIN adj_factor f USING (date, symbol)")
+@query("SELECT b.* REPLACE (round(b.amount, 2) AS amount), f.adj_factor FROM bar_1m b LEFT JOIN adj_factor f USING (date, symbol)")
 def adj_bars(spark, sf_dir):
-    return return_tables.adjusted_bars(fx.bar_1m(spark, sf_dir), readers.read_daily(spark, fx.adj_factor(spark, sf_dir)))
+    rows = returns.adjusted_bars(fx.bar_1m(spark, sf_dir), readers.read_daily(spark, fx.adj_factor(spark, sf_dir)))
+    return rows.withColumn("amount", F.round("amount", 2))
 
 
 # --- Returns ----------------------------------------------------------------------------------------------------
@@ -171,10 +172,10 @@ def at_sql(slot: str, price: str = "close") -> str:
     return f"max(CASE WHEN hhmm = '{slot}' THEN {price} END)"
 
 
-@query("SELECT date, symbol, " + ", ".join(r(at_sql(s), s) for s in SPAN_SLOTS) + " FROM slotted "
+@query("SELECT date, symbol, " + ", ".join(f'{at_sql(s)} AS "{s}"' for s in SPAN_SLOTS) + " FROM slotted "
        f"WHERE hhmm IN ({', '.join(repr(s) for s in SPAN_SLOTS)}) GROUP BY date, symbol")
 def slot_prices(spark, sf_dir):
-    return fixed(resample.slot_values(fx.bar_1m(spark, sf_dir), SPAN_SLOTS))
+    return resample.slot_values(fx.bar_1m(spark, sf_dir), SPAN_SLOTS)
 
 
 @query("SELECT date, symbol, " + ", ".join(ret_sql(at_sql(e), at_sql(b), n) for n, (b, e) in SPANS.items())
@@ -603,20 +604,19 @@ def feature_matrix(spark, sf_dir):
     return fixed(rows.select("date", "symbol", "slot_pos", F.posexplode("row").alias("feature_pos", "value")))
 
 
-def recency_weighted(x):
-    """A stand-in for a trained sequence model: weights grow toward the last slot."""
-    import numpy as np
-
-    w = np.arange(1, x.shape[1] + 1) / x.shape[1]
-    mean = np.nansum(x * w[None, :, None], axis=1) / w.sum()
-    return np.stack([mean[:, 0], mean[:, 2]], axis=1)
-
-
 @query(f"""SELECT date, symbol, {r("(coalesce(max(CASE WHEN slot='0940' THEN cm END),0) + 2*coalesce(max(CASE WHEN slot='0950' THEN cm END),0) + 3*coalesce(max(CASE WHEN slot='1000' THEN cm END),0)) / 6", 'y_close')},
   {r("(coalesce(max(CASE WHEN slot='0940' THEN vm END),0) + 2*coalesce(max(CASE WHEN slot='0950' THEN vm END),0) + 3*coalesce(max(CASE WHEN slot='1000' THEN vm END),0)) / 6", 'y_volume')}
 FROM (SELECT date, symbol, slot, avg(close) AS cm, avg(volume) AS vm FROM slotted WHERE slot IN ('0940', '0950', '1000')
   GROUP BY date, symbol, slot) GROUP BY date, symbol""")
 def matrix_model_score(spark, sf_dir):
+    def recency_weighted(x):
+        """A stand-in for a trained sequence model: weights grow toward the last slot."""
+        import numpy as np
+
+        w = np.arange(1, x.shape[1] + 1) / x.shape[1]
+        mean = np.nansum(x * w[None, :, None], axis=1) / w.sum()
+        return np.stack([mean[:, 0], mean[:, 2]], axis=1)
+
     long = resample.resample_long(fx.bar_1m(spark, sf_dir), ["close", "volume"])
     x = matrices.matrix_from_long(long, ["close_mean", "close_std", "volume_mean", "volume_std"], ONLINE_SLOTS)
     return fixed(scoring.score_with(x, recency_weighted, ["y_close", "y_volume"], (3, 4)))
