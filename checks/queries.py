@@ -14,7 +14,7 @@ from barloom.functions import clock, dates, durations, values
 from barloom.functions.slots import TEN_MINUTE_SLOTS, shift_slot, trading_slots
 from barloom.operators import asof, calendar as cal, datesets, matrices, resample, returns, scaling, splits
 from barloom.plans import alpha, dataset, panel, return_tables, scoring, training
-from barloom.plans.features import wide_columns
+from barloom.plans.features import feature_bars, wide_columns
 from barloom.sources import incremental, readers, sinks
 from barloom.sources.workdir import work_folder
 from barloom.streaming import stats
@@ -108,6 +108,22 @@ def downsample_wide(spark, sf_dir):
     return fixed(panel.downsample_wide(fx.bar_1m(spark, sf_dir), WIDE_BARS), 3)
 
 
+V2_BARS = feature_bars("v2")
+V2_SOURCES = ["open", "high", "low", "close", "volume", "amount"]
+V2_SELECT = ", ".join(f"{V2_SOURCES[i % 6]} * {1 + i % 16} / 1000.0::DOUBLE + {i}.0000123::DOUBLE AS \"{b}\"" for i, b in enumerate(V2_BARS))
+
+
+@query(f"WITH full_bars AS (SELECT date, symbol, slot, time, {V2_SELECT} FROM slotted)\n"
+       f"SELECT date, symbol, slot, {', '.join(r(f'avg(\"{b}\")', f'{b}_mean', 4) for b in V2_BARS)}, "
+       f"{', '.join(r(f'stddev_samp(\"{b}\")', f'{b}_std', 4) for b in V2_BARS)}, count(time) AS count "
+       "FROM full_bars GROUP BY date, symbol, slot")
+def downsample_v2_bars(spark, sf_dir):
+    """All 139 bars of the default feature set, each derived from one of the panel's (off round numbers)."""
+    made = [f"{V2_SOURCES[i % 6]} * {1 + i % 16} / 1000.0D + {i}.0000123D AS `{b}`" for i, b in enumerate(V2_BARS)]
+    bars = fx.bar_1m(spark, sf_dir).selectExpr("date", "symbol", "time", *made)
+    return fixed(resample.resample_long(bars, V2_BARS), 4)
+
+
 @query("SELECT date, count(*) AS windows, bool_and(n = 10) AS complete FROM "
        "(SELECT date, symbol, slot, count(*) AS n FROM slotted GROUP BY date, symbol, slot) GROUP BY date")
 def window_complete(spark, sf_dir):
