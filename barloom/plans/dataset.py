@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.slots import TEN_MINUTE_SLOTS
 from barloom.functions.values import numeric_to_float
+from barloom.operators.calendar import trading_dates
 from barloom.operators.datesets import pending_dates, ready_dates
 from barloom.operators.resample import KEYS
 from barloom.plans.features import wide_columns
@@ -29,9 +31,14 @@ def join_dataset(universe: DataFrame, features: DataFrame, returns: DataFrame, l
     return narrow.join(features, keys, "left").selectExpr(*keys, *[f"`{c}`" for c in rest])
 
 
-def only_dates(df: DataFrame, dates: DataFrame) -> DataFrame:
-    """Rows of a small set of dates; on a partitioned table this prunes at run time."""
-    return df.join(F.broadcast(dates.select("date")), "date", "left_semi")
+def only_dates(df: DataFrame, days: Sequence[dt.date]) -> DataFrame:
+    """Rows of the given dates; as literals they prune the folders of a partitioned table up front."""
+    return df.where(F.col("date").isin(list(days)))
+
+
+def date_list(dates: DataFrame) -> list[dt.date]:
+    """A set of dates on the driver: one value per trading day, bounded by the calendar."""
+    return sorted(r["date"] for r in trading_dates(dates).collect())
 
 
 def dataset_rows(
@@ -40,13 +47,13 @@ def dataset_rows(
     returns: DataFrame,
     lag_returns: DataFrame,
     bars: Sequence[str],
-    dates: DataFrame | None = None,
+    days: Sequence[dt.date] | None = None,
     slots: Sequence[str] = TEN_MINUTE_SLOTS,
 ) -> DataFrame:
     """Dataset rows of the given dates (default: the ready ones), numerics as 32-bit floats."""
-    if dates is None:
-        dates = ready_dates(bars_1m, universe, returns, lag_returns)
-    bars_1m, universe, returns, lag_returns = (only_dates(t, dates) for t in (bars_1m, universe, returns, lag_returns))
+    if days is None:
+        days = date_list(ready_dates(bars_1m, universe, returns, lag_returns))
+    bars_1m, universe, returns, lag_returns = (only_dates(t, days) for t in (bars_1m, universe, returns, lag_returns))
     features = downsample_wide(bars_1m, bars, slots).selectExpr(*KEYS, *[f"`{c}`" for c in wide_columns(bars, slots)])
     return numeric_to_float(join_dataset(universe, features, returns, lag_returns))
 
@@ -59,8 +66,8 @@ def build_dataset(
     *,
     only_new: bool = False,
     slots: Sequence[str] = TEN_MINUTE_SLOTS,
-) -> None:
-    """Build the dataset over all ready dates in one job and write it by date.
+) -> list[dt.date]:
+    """Build the dataset over all ready dates in one job and write it by date; returns the dates.
 
     ``sources`` holds ``bar_1m``, ``univ``, ``return`` and ``lag_return`` as
     paths or frames. Tables given by path tell their dates from their folders,
@@ -72,13 +79,17 @@ def build_dataset(
     dates = ready_dates(*held)
     if only_new:
         dates = pending_dates(dates, loaded_dates(spark, path))
-    write_by_date(dataset_rows(*tables, bars, dates, slots), path)
+    days = date_list(dates)
+    if days:
+        write_by_date(dataset_rows(*tables, bars, days, slots), path)
+    return days
 
 
 def downsample_pending(
     spark: SparkSession, source: str, target: str, bars: Sequence[str], slots: Sequence[str] = TEN_MINUTE_SLOTS
-) -> None:
-    """Downsample the dates of a minute-bar table that the ten-minute table lacks."""
-    dates = pending_dates(loaded_dates(spark, source), loaded_dates(spark, target))
-    rows = only_dates(open_table(spark, source), dates)
-    write_by_date(downsample_wide(rows, bars, slots), target)
+) -> list[dt.date]:
+    """Downsample the dates of a minute-bar table that the ten-minute table lacks; returns them."""
+    days = date_list(pending_dates(loaded_dates(spark, source), loaded_dates(spark, target)))
+    if days:
+        write_by_date(downsample_wide(only_dates(open_table(spark, source), days), bars, slots), target)
+    return days

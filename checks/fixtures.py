@@ -42,7 +42,7 @@ def bar_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = table(spark, sf_dir, "lineitem").select(
         p.alias("p"),
         k.alias("k"),
-        at_minute(_date(p), 571 + k + F.when(k >= 120, 90).otherwise(0)).alias("time"),
+        (571 + k + F.when(k >= 120, 90).otherwise(0)).cast("int").alias("minute"),
         F.call_function("div", F.col("l_suppkey"), F.lit(20)).alias("g"),
         order.alias("ord"),
         price.alias("price"),
@@ -50,7 +50,7 @@ def bar_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice",
     )
     bars = trades.groupBy("p", "k", "g").agg(
-        F.min("time").alias("time"),
+        F.min("minute").alias("minute"),
         F.min_by("price", "ord").alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
@@ -59,7 +59,10 @@ def bar_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_extendedprice").alias("amount"),
         F.count(F.lit(1)).alias("total_trades"),
     )
-    return bars.select(_date(F.col("p")).alias("date"), _symbol(F.col("g")).alias("symbol"), "time", *BARS)
+    date = _date(F.col("p"))
+    return bars.select(
+        date.alias("date"), _symbol(F.col("g")).alias("symbol"), at_minute(date, F.col("minute")).alias("time"), *BARS
+    )
 
 
 def nan_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -490,11 +490,17 @@ def dataset_join(spark, sf_dir):
 @query(DATASET_CTE + DATASET_SELECT + " FROM full_set WHERE date IN (SELECT date FROM "
        "(SELECT date, row_number() OVER (ORDER BY date DESC) AS r FROM calendar WHERE next IS NOT NULL) WHERE r > 6)")
 def dataset_build(spark, sf_dir):
-    path = work_folder(spark, "dataset")
-    bars, members, rets, lagged = _items(spark, sf_dir)
-    sources = {"bar_1m": bars, "univ": members, "return": rets, "lag_return": lagged}
-    dataset.build_dataset(spark, sources, path, DATASET_BARS, slots=DATASET_SLOTS)
-    return _fix_dataset(spark.read.parquet(path))
+    """The four items are written by date first, then the dataset is built from their folders."""
+    folder = work_folder(spark, "dataset")
+    bars, days = fx.bar_1m(spark, sf_dir).select("date", "symbol", "time", "close", "volume", "amount"), fx.calendar(spark, sf_dir)
+    paths = {name: f"{folder}/{name}" for name in ("bar_1m", "univ", "return", "lag_return")}
+    sinks.write_by_date(bars, paths["bar_1m"], sort=("symbol", "time"))
+    sinks.write_by_date(fx.univ(spark, sf_dir), paths["univ"])
+    rets = return_tables.return_table(spark.read.parquet(paths["bar_1m"]), days, fx.adj_factor(spark, sf_dir))
+    sinks.write_by_date(rets, paths["return"])
+    sinks.write_by_date(return_tables.lag_return_table(spark.read.parquet(paths["return"]), days), paths["lag_return"])
+    dataset.build_dataset(spark, paths, f"{folder}/set", DATASET_BARS, slots=DATASET_SLOTS)
+    return _fix_dataset(spark.read.parquet(f"{folder}/set"))
 
 
 @query("SELECT date, symbol, euniv_largemid FROM univ WHERE date BETWEEN DATE '2024-01-09' AND DATE '2024-01-22'")
