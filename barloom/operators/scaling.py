@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.bounded import broadcast_if_small
+from barloom.operators.bounded import BROADCAST_BYTES, is_small, row_bytes
 
 
 def standardised(x: Column, mean: Column, std: Column) -> Column:
@@ -58,7 +58,10 @@ class CrossSectionalZScore:
         stats = df.groupBy(F.col(self.date_col).alias("__day")).agg(
             *[f(F.col(f"`{c}`")).alias(f"__{n}_{c}") for c in self.columns for n, f in (("m", F.avg), ("s", F.stddev_samp))]
         )
-        joined = df.join(broadcast_if_small(stats), F.col(self.date_col) == F.col("__day"))
+        # One row per date: counting the dates is enough, and reads nothing else.
+        days = df.select(self.date_col).distinct()
+        small = is_small(days, BROADCAST_BYTES * row_bytes(days) // row_bytes(stats))
+        joined = df.join(F.broadcast(stats) if small else stats, F.col(self.date_col) == F.col("__day"))
         return joined.select(
             *[
                 standardised(F.col(f"`{c}`"), F.col(f"`__m_{c}`"), F.col(f"`__s_{c}`")).alias(c)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -45,8 +46,8 @@ def linear_predictions(
     A missing feature adds nothing, as if at its mean; a row without any
     feature has a NULL prediction. Dates before the first model have no row.
     """
-    x = nan_to_null(df.select(*index, *x_columns))
-    packed = x.select(*index, F.array(*[F.col(f"`{c}`").cast("double") for c in x_columns]).alias("__x"))
+    x = nan_to_null(df.selectExpr(*index, *[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in x_columns]))
+    packed = x.selectExpr(*index, f"array({', '.join(f'`{c}`' for c in x_columns)}) AS __x")
     picks = latest_versions(dates if dates is not None else df.select("date"), models, n_latest)
     plan = _packed(models, x_columns)
     if is_small(models):
@@ -97,12 +98,79 @@ def score_linear(
     index: Sequence[str] = KEYS,
     dates: DataFrame | None = None,
 ) -> DataFrame:
-    """Mean prediction of each row's latest n models, one column per label."""
-    n_max = n_latest if isinstance(n_latest, int) else max(n_latest)
+    """Mean prediction of each row's latest n models, one column per label.
+
+    With several n there is one row per n, in ``n_latest``. Models that fit
+    (checked) are sent to the tasks once and applied as matrix products, batch
+    by batch: the rows are neither shuffled nor repeated. Larger sets of models
+    are joined to the rows instead.
+    """
     wanted = models.where(F.col("y").isin(list(y_columns)))
+    if is_small(wanted):
+        return _score_dense(df, wanted, x_columns, y_columns, n_latest, index)
+    n_max = n_latest if isinstance(n_latest, int) else max(n_latest)
     return ensemble(linear_predictions(df, wanted, x_columns, n_max, index, dates), y_columns, n_latest, index)
 
 
+def _dense_models(models: DataFrame, x_columns: Sequence[str], y_columns: Sequence[str]) -> tuple[np.ndarray, list]:
+    """Sorted milestones (days since 1970) and for each (slope, offset, bias), shaped by feature and label."""
+    at = {c: i for i, c in enumerate(x_columns)}
+    label = {y: j for j, y in enumerate(y_columns)}
+    parts: dict = {}
+    for m in models.select("milestone", "y", "feature", "weight", "mean", "std").toLocalIterator():
+        shape = (len(at), len(label))
+        slope, offset, bias = parts.setdefault(m["milestone"], (np.zeros(shape), np.zeros(shape), np.zeros(len(label))))
+        j = label[m["y"]]
+        if m["feature"] == INTERCEPT:
+            bias[j] += m["weight"]
+        elif m["feature"] not in at:
+            raise ValueError(f"model feature is not among the inputs: {m['feature']}")
+        elif m["std"] and m["mean"] is not None:
+            i = at[m["feature"]]
+            slope[i, j] = m["weight"] / m["std"]
+            offset[i, j] = slope[i, j] * m["mean"]
+    order = sorted(parts)
+    days = np.array([(d - dt.date(1970, 1, 1)).days for d in order], dtype="int64")
+    return days, [parts[d] for d in order]
+
+
+def _score_dense(df, models, x_columns, y_columns, n_latest, index) -> DataFrame:
+    ns = [n_latest] if isinstance(n_latest, int) else list(n_latest)
+    several, index, y_columns, k = not isinstance(n_latest, int), list(index), list(y_columns), len(x_columns)
+    shared = df.sparkSession.sparkContext.broadcast(_dense_models(models, x_columns, y_columns))
+    x = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in x_columns)
+    rows = df.selectExpr(*index, f"array({x}) AS __x")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__x"]
+    fields += (["n_latest int"] if several else []) + [f"`{y}` double" for y in y_columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        milestones, parts = shared.value
+        for batch in batches:
+            days = batch.column(index.index("date")).cast(pa.int32()).to_numpy(zero_copy_only=False)
+            upto = np.searchsorted(milestones, days, side="right")
+            keep = np.flatnonzero(upto > 0)
+            if not len(keep):
+                continue
+            data = batch.column(len(index)).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)[keep]
+            upto, present = upto[keep], ~np.isnan(data)
+            filled, mask = np.where(present, data, 0.0), present.astype("float64")
+            means = np.full((len(ns), len(keep), len(y_columns)), np.nan)
+            for last in np.unique(upto):
+                at = np.flatnonzero((upto == last) & present.any(axis=1))
+                preds = [
+                    filled[at] @ slope - mask[at] @ offset + bias for slope, offset, bias in parts[max(0, last - max(ns)) : last]
+                ]
+                for i, n in enumerate(ns):
+                    means[i, at] = np.mean(preds[-n:], axis=0)
+            kept = [c.take(pa.array(keep)) for c in batch.columns[:-1]]
+            for i, n in enumerate(ns):
+                out = kept + ([pa.array(np.full(len(keep), n, dtype="int32"))] if several else [])
+                out += [pa.array(means[i, :, j], from_pandas=True) for j in range(len(y_columns))]
+                yield pa.RecordBatch.from_arrays(out, names=[*index, *(["n_latest"] if several else []), *y_columns])
+
+    return rows.mapInArrow(run, ", ".join(fields))
+
+
 def score_with(
     matrices: DataFrame,
     model: Callable[..., np.ndarray],

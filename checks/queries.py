@@ -611,7 +611,14 @@ def linear_score(spark, sf_dir):
 @query(PRED_CTE + "SELECT date, symbol, n_latest, " + ", ".join(r(f"avg(CASE WHEN y = '{y}' THEN pred END)", y) for y in Y1000)
        + " FROM preds JOIN (VALUES (1), (2), (3)) v(n_latest) ON k <= n_latest GROUP BY date, symbol, n_latest")
 def ensemble_mean(spark, sf_dir):
-    return fixed(scoring.score_linear(_morning_wide(spark, sf_dir), _models1000(spark, sf_dir), X1000, Y1000, [1, 2, 3]))
+    preds = scoring.linear_predictions(_morning_wide(spark, sf_dir), _models1000(spark, sf_dir), X1000, 3)
+    return fixed(scoring.ensemble(preds, Y1000, [1, 2, 3]))
+
+
+@query(PRED_CTE + "SELECT date, symbol, n_latest, " + ", ".join(r(f"avg(CASE WHEN y = '{y}' THEN pred END)", y) for y in Y1000)
+       + " FROM preds JOIN (VALUES (1), (3)) v(n_latest) ON k <= n_latest GROUP BY date, symbol, n_latest")
+def linear_score_several(spark, sf_dir):
+    return fixed(scoring.score_linear(_morning_wide(spark, sf_dir), _models1000(spark, sf_dir), X1000, Y1000, [1, 3]))
 
 
 @query(f"""SELECT date, symbol, CAST(s AS INTEGER) AS slot_pos, CAST(f AS INTEGER) AS feature_pos,
