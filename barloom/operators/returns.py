@@ -12,7 +12,6 @@ import itertools
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barloom.functions.clock import minute_of, minute_of_day
@@ -134,23 +133,18 @@ def forward_returns(
     require_columns(prices, KEYS)
     positions = calendar.select("date", F.col("idx").alias("__idx"))
     located = prices.join(F.broadcast(positions), "date")
-    factor = F.col(adj) if adj else F.lit(1.0)
-    located = located.select(
-        *KEYS, "__idx", *keep, *[(F.col(f"`{p}`") * factor).alias(f"__{name}") for name, p in columns.items()]
-    )
-    by_symbol = W.partitionBy("symbol").orderBy("__idx")
-    return located.select(
-        *KEYS,
-        *[
-            simple_return(F.max(f"__{name}").over(by_symbol.rangeBetween(n, n)), F.col(f"__{name}")).alias(
-                f"{name}_{n}D"
-            )
-            for name in columns
-            for n in horizons
-        ],
-        *keep,
+    factor = f"`{adj}`" if adj else "1.0D"
+    located = located.selectExpr(
+        *KEYS, "__idx", *[f"`{c}`" for c in keep], *[f"`{p}` * {factor} AS `__{name}`" for name, p in columns.items()]
     )
 
+    def ahead(name: str, n: int) -> str:
+        frame = f"PARTITION BY symbol ORDER BY __idx RANGE BETWEEN {n} FOLLOWING AND {n} FOLLOWING"
+        return f"try_divide(max(`__{name}`) OVER ({frame}), `__{name}`) - 1.0D AS `{name}_{n}D`"
+
+    returns = [ahead(name, n) for name in columns for n in horizons]
+    return located.selectExpr(*KEYS, *returns, *[f"`{c}`" for c in keep])
+
 
 def lag_table(df: DataFrame, calendar: DataFrame, prefix: str = "lag_") -> DataFrame:
     """The same rows dated one trading day earlier, value columns prefixed.

@@ -38,11 +38,11 @@ def query(sql: str | None = None):
 
 def fixed(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round floating columns, so that the order of a sum does not show."""
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.round(F.col(f"`{f.name}`").cast("double"), digits) + 0.0).alias(f.name)
+            f"round(CAST(`{f.name}` AS DOUBLE), {digits}) + 0.0D AS `{f.name}`"
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f"`{f.name}`")
+            else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )
