@@ -117,7 +117,8 @@ def _dense_models(models: DataFrame, x_columns: Sequence[str], y_columns: Sequen
     at = {c: i for i, c in enumerate(x_columns)}
     label = {y: j for j, y in enumerate(y_columns)}
     parts: dict = {}
-    for m in models.select("milestone", "y", "feature", "weight", "mean", "std").toLocalIterator():
+    # The caller has checked that the models are small.
+    for m in models.select("milestone", "y", "feature", "weight", "mean", "std").collect():
         shape = (len(at), len(label))
         slope, offset, bias = parts.setdefault(m["milestone"], (np.zeros(shape), np.zeros(shape), np.zeros(len(label))))
         j = label[m["y"]]

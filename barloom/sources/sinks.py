@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DATE_SCHEMA = "date date"
-
 
 def write_by_date(df: DataFrame, path: str, partitions: Sequence[str] = ("date",), sort: Sequence[str] = ("symbol",)) -> None:
     """Write one folder per date, replacing only the dates that occur in ``df``.
@@ -39,4 +37,5 @@ def loaded_dates(spark: SparkSession, path: str) -> DataFrame:
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = fs.globStatus(pattern) or []
     names = [(s.getPath().getName().split("=", 1)[1],) for s in found]
-    return spark.createDataFrame(names, "date string").select(F.col("date").cast("date").alias("date"))
+    dates = spark.createDataFrame(names, "date string").select(F.col("date").try_cast("date").alias("date"))
+    return dates.where(F.col("date").isNotNull())  # the folder of NULL dates is none
