@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from checks.compare import connect, differences
+from checks.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,9 +19,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert differences(entry_point.queries()[name](spark, SF), con, entry_point.oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SF), con, ORACLE[name]) == []
