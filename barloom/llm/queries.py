@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import quality_rules, simhash
+from barloom.llm import line_dedup, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,6 +29,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    """
+    WITH blank AS (SELECT ' ' || chr(9) || chr(11) || chr(12) || chr(13) AS b),
+    page AS (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents),
+    seen AS (
+        SELECT source, line, count(*) AS n
+        FROM (SELECT DISTINCT doc_id, source, trim(line, b) AS line
+              FROM (SELECT doc_id, source, unnest(lines) AS line FROM page), blank)
+        WHERE line <> '' GROUP BY source, line),
+    total AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+    bad AS (SELECT seen.source, line FROM seen JOIN total ON seen.source IS NOT DISTINCT FROM total.source
+            WHERE n >= 5 AND n > 0.1 * pages),
+    placed AS (SELECT doc_id, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM page),
+    marked AS (SELECT p.doc_id, p.line, p.i, bad.line IS NOT NULL AS gone
+               FROM placed p CROSS JOIN blank
+               LEFT JOIN bad ON bad.source IS NOT DISTINCT FROM p.source AND bad.line = trim(p.line, b))
+    SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text,
+           count(*) FILTER (gone) AS removed
+    FROM marked GROUP BY doc_id
+    """
+)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.drop_boilerplate(docs, "source", ratio=0.1, least_pages=5, removed="removed").drop("source")
+
+
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
