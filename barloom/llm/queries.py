@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import line_dedup, quality_rules, simhash
+from barloom.llm import byte_bpe, line_dedup, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,3 +68,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), width=3, budget=3)
+
+
+@query()
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bpe = byte_bpe.ByteBPE(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.token_digests(bpe, table(spark, sf_dir, "documents"))
