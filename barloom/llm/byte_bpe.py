@@ -184,12 +184,17 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
 
 
-def token_digests(bpe: ByteBPE, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256), one for each row of ``docs``: a check of a round trip."""
+def token_digests(bpe: ByteBPE, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                  keep_ids: bool = False) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256), one for each row of ``docs``: a check of a round trip.
+
+    ``keep_ids``: the ids come along as a column ``ids``.
+    """
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     both = bpe.decode(bpe.encode(texts, "text", "ids").drop("text"), "ids", "decoded")
     return both.select(
         "doc_id",
+        *(["ids"] if keep_ids else []),
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded.bytes"), 256).alias("decoded_sha256"),

@@ -44,11 +44,12 @@ def boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: float =
 
 
 def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: float = 0.1, least_pages: int = 5,
-                     removed: str | None = None) -> DataFrame:
+                     removed: str | None = None, length: str | None = None) -> DataFrame:
     """``pages`` with boilerplate lines gone from ``text``; the lines left are joined as they were.
 
     Every row stays, repeated rows too; a page all of whose lines go has an empty text, and a null text stays null.
-    ``removed`` names a column for the number of lines taken out. Blank lines are never counted or removed.
+    ``removed`` names a column for the number of lines taken out, ``length`` one of ``pages`` that holds the characters
+    of the text and is brought up to date. Blank lines are never counted or removed.
     """
     found = boilerplate(pages, host, text, ratio, least_pages).select(
         F.col("host").alias("__llm_host"), F.col("lines").alias("__llm_lines"),
@@ -65,7 +66,9 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: flo
         F.filter("__llm_all", lambda x: ~F.coalesce(F.array_contains(F.col("__llm_lines"), _digest(x)), F.lit(False)))
     )
     done = met.withColumn("__llm_left", left)
-    out = [F.array_join("__llm_left", "\n").alias(text) if c == text else F.col(f"`{c}`") for c in pages.columns]
+    joined = F.array_join("__llm_left", "\n")
+    changed = {text: joined} | ({length: F.length(joined).cast(pages.schema[length].dataType)} if length else {})
+    out = [changed.get(c, F.col(f"`{c}`")).alias(c) for c in pages.columns]
     if removed:
         out.append(F.coalesce(F.size("__llm_all") - F.size("__llm_left"), F.lit(0)).cast("bigint").alias(removed))
     return done.select(*out)
