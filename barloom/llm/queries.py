@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import byte_bpe, decontaminate, line_dedup, quality_rules, simhash
+from barloom.llm import byte_bpe, decontaminate, line_dedup, quality_rules, simhash, warc_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -75,6 +75,21 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), width=3, budget=3)
 
 
+@query(
+    """
+    WITH page AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    hashed AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM page),
+    largest AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS response FROM hashed)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to
+    FROM largest
+    """
+)
+def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundles.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
 @query()
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     bpe = byte_bpe.ByteBPE(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
