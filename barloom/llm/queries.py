@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import byte_bpe, decontaminate, line_dedup, quality_rules, simhash, warc_bundles
+from barloom.llm import byte_bpe, decontaminate, line_dedup, quality_rules, simhash, substring_dedup, warc_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,6 +70,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col("quality_measures")[n].alias(n) for n in names])
 
 
+@query()
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), width=3, budget=3)
