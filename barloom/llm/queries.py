@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import byte_bpe, decontaminate, line_dedup, quality_rules, simhash, substring_dedup, warc_bundles
+from barloom.llm import byte_bpe, decontaminate, line_dedup, quality_model, quality_rules, simhash, substring_dedup, toxicity, warc_bundles
+from barloom.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def judged(scored: DataFrame, threshold: float) -> DataFrame:
+    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted)
+
+
 @query(
     """
     WITH blank AS (SELECT ' ' || chr(9) || chr(11) || chr(12) || chr(13) AS b),
@@ -56,6 +62,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs, "source", ratio=0.1, least_pages=5, removed="removed").drop("source")
 
 
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return judged(model.scored(docs), 0.5)
+
+
 @query()
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -95,6 +108,14 @@ def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
+@query()
+def op9_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    length = {"length": F.floor(F.log2(F.greatest("n_chars", F.lit(1))))}
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"), metadata=length)
+    return judged(model.scored(docs, metadata=length), 0.3)
+
+
 @query()
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     bpe = byte_bpe.ByteBPE(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
