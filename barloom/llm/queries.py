@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import byte_bpe, decontaminate, line_dedup, quality_model, quality_rules, simhash, substring_dedup, toxicity, warc_bundles
+from barloom.llm import byte_bpe, decontaminate, licenses, line_dedup, quality_model, quality_rules, simhash, substring_dedup, toxicity, warc_bundles
 from barloom.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,11 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), width=3, budget=3)
 
 
+@query(licenses.duckdb_sql())
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licence_scan(table(spark, sf_dir, "documents"))
+
+
 @query(
     """
     WITH page AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
