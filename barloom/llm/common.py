@@ -28,6 +28,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches are small enough for long texts: 1024 rows, unless it says otherwise.
+
+    The default of ten thousand rows is a gigabyte of texts of a hundred thousand characters, in each Python worker.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, "1024")
+    return df
+
+
 def slices(array: pa.Array) -> Iterator[list[str]]:
     """The texts of an Arrow array, a few at a time; a null text is an empty one."""
     for start in range(0, len(array), SLICE_ROWS):

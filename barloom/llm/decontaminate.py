@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import texts
+from barloom.llm.common import bounded_batches, texts
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -228,7 +228,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     short items match nothing, items of equal text all match. Other columns, whatever their names, are not looked at.
     """
     spark = docs.sparkSession
-    narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    narrow = bounded_batches(docs).select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = benchmark.schema[item_id].dataType
     out = None
     for block in blocks(benchmark, item_id, item_text, settings.block):
@@ -244,7 +244,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
                       item_text: str = "text", settings: PassageSearch = PassageSearch()) -> DataFrame:
     """The rows of ``docs`` that hold no passage of any item, with the columns of ``docs``; no shuffle."""
-    spark, own, out = docs.sparkSession, [F.col(f"`{c}`") for c in docs.columns], docs
+    spark, own, out = docs.sparkSession, [F.col(f"`{c}`") for c in docs.columns], bounded_batches(docs)
     for block in blocks(benchmark, item_id, item_text, settings.block):
         sent = spark.sparkContext.broadcast(block)  # settings.block characters at most, or one item
 

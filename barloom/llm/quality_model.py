@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import slices, written
+from barloom.llm.common import bounded_batches, slices
 from barloom.llm.training import blocked, fit, sigmoid, with_labels
 
 
@@ -128,7 +127,7 @@ class QualityModel:
                     out.append(sigmoid(raw_score(model.weights, *features(t, next(facts) or [], model.settings))[0]))
             return pa.array(out, pa.float64())
 
-        return docs.withColumn(into, score(F.col(text), _metadata(docs, metadata or {})))
+        return bounded_batches(docs).withColumn(into, score(F.col(text), _metadata(docs, metadata or {})))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
@@ -145,27 +144,28 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
         at = pa.array([a.astype(np.int32) for a, _ in rows], pa.list_(pa.int32()))
         return pa.StructArray.from_arrays([at, pa.array([x for _, x in rows], pa.list_(pa.float32()))], ["at", "x"])
 
-    known = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), _metadata(docs, metadata or {}).alias("facts"))
+    known = bounded_batches(docs).select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), _metadata(docs, metadata or {}).alias("facts"))
     known = with_labels(known, labels, label, "doc_id", settings.most_rows)
     made_rows = known.select("doc_id", F.col("__llm_label").alias("label"), made("text", "facts").alias("f"))
-    rows = blocked(written(made_rows, "features"), "doc_id").select("label", "f.at", "f.x")
+    blocks = blocked(made_rows.select("doc_id", "label", "f.at", "f.x"), "doc_id")
 
-    def epoch(weights: np.ndarray, batches: Iterator[pa.RecordBatch], number: int) -> None:
+    def epoch(weights: np.ndarray, rows: pa.StructArray, number: int) -> None:
         squares, rate = np.full_like(weights, 1e-2), settings.rate / (1 + 0.5 * number)
-        for batch in batches:
-            for k in range(batch.num_rows):
-                at, x = batch["at"][k].values.to_numpy(), batch["x"][k].values.to_numpy()
-                raw, vx, sums = raw_score(weights, at, x)
-                error = sigmoid(raw) - batch["label"][k].as_py()
-                step = np.empty((len(at), weights.shape[1]), np.float32)
-                step[:, 0] = error * x
-                step[:, 1:] = error * x[:, None] * (sums - vx)
-                step += settings.shrink * weights[at]
-                squares[at] += step * step
-                weights[at] -= rate * step / np.sqrt(squares[at])
-                squares[-1, 0] += error * error
-                weights[-1, 0] -= rate * error / np.sqrt(squares[-1, 0])
+        bounds, values = rows.field("at").offsets.to_numpy(), rows.field("x").values.to_numpy()
+        flat, first = rows.field("at").values.to_numpy(), rows.field("x").offsets.to_numpy()
+        for k, label in enumerate(rows.field("label").to_pylist()):
+            at, x = flat[bounds[k] : bounds[k + 1]], values[first[k] : first[k + 1]]
+            raw, vx, sums = raw_score(weights, at, x)
+            error = sigmoid(raw) - label
+            step = np.empty((len(at), weights.shape[1]), np.float32)
+            step[:, 0] = error * x
+            step[:, 1:] = error * x[:, None] * (sums - vx)
+            step += settings.shrink * weights[at]
+            squares[at] += step * step
+            weights[at] -= rate * step / np.sqrt(squares[at])
+            squares[-1, 0] += error * error
+            weights[-1, 0] -= rate * error / np.sqrt(squares[-1, 0])
 
     start = np.random.default_rng(5).normal(0, 0.05, (settings.size, 1 + settings.factors)).astype(np.float32)
     start[:, 0] = 0
-    return QualityModel(settings, fit(rows, start, epoch, settings.rounds) if not rows.isEmpty() else start)
+    return QualityModel(settings, fit(blocks, start, epoch, settings.rounds))

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import BLANK, texts
+from barloom.llm.common import BLANK, bounded_batches, texts
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -116,7 +116,7 @@ def quality_measures(docs: DataFrame, text: str = "text", into: str = "quality_m
         columns = zip(*rows, strict=True) if rows else [[]] * len(FIELDS)
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], FIELDS)
 
-    return docs.withColumn(into, measured(F.col(text)))
+    return bounded_batches(docs).withColumn(into, measured(F.col(text)))
 
 
 def with_verdict(docs: DataFrame, into: str = "quality_measures", least_words: int = 10,

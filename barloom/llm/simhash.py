@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import ascii_lower, texts, written
+from barloom.llm.common import ascii_lower, bounded_batches, texts, written
 from barloom.llm.components import components
 
 BITS = 64
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, text: str = "text", into: str = "simhash", wid
         values = np.fromiter((fingerprint(t, width) for t in texts(column)), np.uint64, len(column))
         return pa.array(values.view(np.int64))
 
-    return docs.withColumn(into, hashed(F.col(text)))
+    return bounded_batches(docs).withColumn(into, hashed(F.col(text)))
 
 
 def as_hex(column: str) -> Column:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import texts
+from barloom.llm.common import bounded_batches, texts
 
 
 @dataclass(frozen=True)
@@ -89,7 +89,7 @@ def chunked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", setting
             columns.append(pa.ListArray.from_arrays(bounds, pa.array(flat.astype(kind))))
         return pa.StructArray.from_arrays(columns, ["high", "low", "start", "stop", "words"])
 
-    ids = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter("doc_id IS NOT NULL")
+    ids = bounded_batches(docs).select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter("doc_id IS NOT NULL")
     cut_up = ids.select("doc_id", cut("text").alias("p"))
     return cut_up.select("doc_id", F.explode(F.arrays_zip(*[F.col(f"p.{c}").alias(c) for c in ("high", "low", "start", "stop", "words")])).alias("c")).select("doc_id", "c.*")
 
@@ -134,6 +134,6 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", se
             out.append(t)
         return pa.array(out, pa.string())
 
-    met = docs.join(spans.withColumnRenamed("doc_id", "__llm_id"), F.col(f"`{doc_id}`") == F.col("__llm_id"), "left")
+    met = bounded_batches(docs).join(spans.withColumnRenamed("doc_id", "__llm_id"), F.col(f"`{doc_id}`") == F.col("__llm_id"), "left")
     cut = without(F.col(f"`{text}`"), F.col("__llm_spans"))
     return met.select(*[cut.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import texts, written
+from barloom.llm.common import bounded_batches, texts
 from barloom.llm.training import blocked, fit, sigmoid, summed, with_labels
 
 PRIME = np.uint64(0x100000001B3)
@@ -28,7 +28,7 @@ class NGrams:
 
     sizes: tuple[int, ...] = (3, 4, 5)
     bits: int = 18
-    most_rows: int = 10_000
+    most_rows: int = 6_000
     prior: float = 100.0
     rounds: int = 8
     rate: float = 1.0
@@ -56,11 +56,11 @@ def features(text: str, settings: NGrams, stamp: np.ndarray) -> np.ndarray:
     return each[stamp[each] == place]
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
-    for batch in batches:
-        labels = batch["label"].to_pylist()
-        for k in range(batch.num_rows):
-            yield batch["grams"][k].values.to_numpy(), labels[k]
+def _examples(rows: pa.StructArray) -> Iterator[tuple[np.ndarray, int]]:
+    grams = rows.field("grams")
+    flat, bounds = grams.values.to_numpy(), grams.offsets.to_numpy()
+    for k, label in enumerate(rows.field("label").to_pylist()):
+        yield flat[bounds[k] : bounds[k + 1]], label
 
 
 @dataclass(frozen=True)
@@ -87,7 +87,7 @@ class ToxicityModel:
             return pa.array([model.score(t, stamp) for t in texts(column)], pa.float64())
 
         self_bits = self.settings.bits
-        return docs.withColumn(into, score(F.col(text)))
+        return bounded_batches(docs).withColumn(into, score(F.col(text)))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
@@ -103,19 +103,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
         stamp = np.zeros(1 << bits, np.int32)
         return pa.array([np.sort(features(t, settings, stamp)).astype(np.int32) for t in texts(column)], pa.list_(pa.int32()))
 
-    known = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    known = bounded_batches(docs).select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     known = with_labels(known, labels, label, "doc_id", settings.most_rows)
-    rows = written(known.select("doc_id", F.col("__llm_label").alias("label"), grams("text").alias("grams")), "grams")
-    rows = blocked(rows, "doc_id").select("label", "grams")
+    blocks = blocked(known.select("doc_id", F.col("__llm_label").alias("label"), grams("text").alias("grams")), "doc_id")
 
-    def counts(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+    def counts(rows: pa.StructArray) -> np.ndarray:
         out = np.zeros((2, size + 1))
-        for at, y in _examples(batches):
+        for at, y in _examples(rows):
             out[y, at] += 1
             out[y, size] += 1
         return out.ravel()
 
-    clean, toxic = summed(rows, counts).reshape(2, -1)
+    seen = summed(blocks, counts)
+    clean, toxic = (seen if seen is not None else np.zeros(2 * (size + 1))).reshape(2, -1)
     n = np.array([clean[-1], toxic[-1]])
     share = (n + 1) / (n.sum() + 2)
     ratios = np.log((toxic[:-1] + settings.prior * share[1]) / (n[1] + settings.prior * share[1]))
@@ -123,9 +123,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     ratios = ratios.astype(np.float32)
     sent = docs.sparkSession.sparkContext.broadcast(ratios)
 
-    def epoch(weights: np.ndarray, batches: Iterator[pa.RecordBatch], number: int) -> None:
+    def epoch(weights: np.ndarray, rows: pa.StructArray, number: int) -> None:
         r, squares, rate = sent.value, np.full(size + 1, 1e-2, np.float32), settings.rate / (1 + number)
-        for at, y in _examples(batches):
+        for at, y in _examples(rows):
             x = r[at]
             x = x / (float(np.sqrt(np.square(x).sum())) or 1.0)
             error = sigmoid(weights[size] + float(weights[at] @ x)) - y
@@ -137,5 +137,5 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
 
     start = np.ones(size + 1, np.float32)
     start[size] = np.log(share[1] / share[0]) if n.sum() else 0.0
-    fitted = fit(rows, start, epoch, settings.rounds) if n.sum() else start
+    fitted = fit(blocks, start, epoch, settings.rounds)
     return ToxicityModel(settings, ratios, ratios * fitted[:size], float(fitted[size]))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import held_out
+from barloom.llm.common import held_out, written
 
 #: Blocks that train side by side in a round; the driver gets one vector from each.
 BLOCKS = 8
@@ -40,37 +40,52 @@ def with_labels(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, mos
 
 
 def blocked(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` with a ``block``, each block in one partition and in a fixed order."""
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), key), F.lit(BLOCKS)).cast("int"))
-    return dealt.repartition(BLOCKS, "block").sortWithinPartitions("block", key)
+    """The sample as a written table of :data:`BLOCKS` rows, each with its share of the sample in the order of ``key``.
+
+    A block is a row, not a partition, so the model does not depend on how Spark reads the table.
+    """
+    block = F.pmod(F.xxhash64(F.lit("block"), key), F.lit(BLOCKS)).alias("block")
+    each = F.struct(key, *[c for c in rows.columns if c != key])
+    return written(rows.groupBy(block).agg(F.sort_array(F.collect_list(each)).alias("rows")), "blocks")
 
 
-def summed(rows: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], np.ndarray]) -> np.ndarray:
-    """Sum over the partitions of the vector that ``partial`` makes of each; a few vectors reach the driver."""
+def summed(blocks: DataFrame, partial: Callable[[pa.StructArray], np.ndarray]) -> np.ndarray | None:
+    """Sum of the vectors that ``partial`` makes of the blocks, of which one each reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([pa.array([partial(batches).astype(np.float64).tobytes()])], ["v"])
+        for batch in batches:
+            for k in range(batch.num_rows):
+                vector = partial(batch["rows"][k].values).astype(np.float32).tobytes()
+                yield pa.RecordBatch.from_arrays([batch["block"].slice(k, 1), pa.array([vector])], ["block", "v"])
 
-    return sum(np.frombuffer(r.v, np.float64) for r in rows.mapInArrow(run, "v binary").toLocalIterator())
+    total = None
+    ordered = blocks.select("block", "rows").mapInArrow(run, "block bigint, v binary").collect()  # BLOCKS rows
+    for row in sorted(ordered):
+        vector = np.frombuffer(row.v, np.float32).astype(np.float64)
+        total = vector if total is None else total + vector
+    return total
 
 
-def fit(rows: DataFrame, start: np.ndarray, epoch: Callable, rounds: int) -> np.ndarray:
-    """Weights after some rounds: in each, every partition of ``rows`` (written, in a fixed order) trains an epoch from
-    the same weights, and each weight then moves by the mean over the blocks that moved it.
+def fit(blocks: DataFrame, start: np.ndarray, epoch: Callable, rounds: int) -> np.ndarray:
+    """Weights after some rounds: in each, every block trains an epoch from the same weights, and each weight then
+    moves by the mean over the blocks that moved it.
 
-    ``epoch(weights, batches, round)`` changes its own copy of the weights.
+    ``epoch(weights, rows, round)`` changes its own copy of the weights. Without blocks the weights stay.
     """
-    spark, weights = rows.sparkSession, start.astype(np.float32)
+    spark, weights = blocks.sparkSession, start.astype(np.float32)
     for number in range(rounds):
         sent = spark.sparkContext.broadcast(weights)
 
-        def partial(batches: Iterator[pa.RecordBatch], sent=sent, number=number) -> np.ndarray:
+        def partial(rows: pa.StructArray, sent=sent, number=number) -> np.ndarray:
             own = sent.value.copy()
-            epoch(own, batches, number)
+            epoch(own, rows, number)
             moved = (own - sent.value).ravel()
             return np.concatenate([moved, moved != 0])
 
-        moved, by = summed(rows, partial).reshape(2, -1)
+        total = summed(blocks, partial)
+        if total is None:
+            break
+        moved, by = total.reshape(2, -1)
         weights = (weights + (moved / np.maximum(by, 1)).reshape(weights.shape)).astype(np.float32)
         sent.destroy()
     return weights

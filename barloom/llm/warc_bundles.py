@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import written
+from barloom.llm.common import bounded_batches, written
 from barloom.sources.workdir import work_folder
 
 #: Fixed values of the seekable format and of WARC 1.1.
@@ -127,7 +127,7 @@ def with_references(pages: DataFrame, page_id: str, url: str, html: str, setting
     third of all pages share meets its response in many tasks.
     """
     payload = F.coalesce(F.encode(F.col(f"`{html}`"), "UTF-8"), F.lit(b""))
-    each = pages.select(
+    each = bounded_batches(pages).select(
         F.col(f"`{page_id}`").cast("bigint").alias("page_id"), F.col(f"`{url}`").alias("url"), payload.alias("payload"),
         F.sha1(payload).alias("digest"), F.octet_length(payload).cast("bigint").alias("size"),
     )
