@@ -1,8 +1,8 @@
 """Trading calendar: a table (date, idx, prev, next) and the algebra on it.
 
-A calendar is cut to [begin, end]; the defaults span 110 years, so it never has
-more than 40,177 rows of 16 bytes. That bound is what makes the unpartitioned
-window over it and the broadcasts of it safe at any data size.
+A calendar has a row for each distinct date, so at most 366 a year whatever the
+size of the data; that is what makes the unpartitioned window over it and the
+broadcasts of it safe. No date is left out unless a range is asked for.
 """
 
 from __future__ import annotations
@@ -18,19 +18,22 @@ from barloom.functions.dates import to_date
 from barloom.functions.durations import parse_duration
 from barloom.functions.slots import ONE_MINUTE_SLOTS
 
-FIRST_DAY, LAST_DAY = dt.date(1990, 1, 1), dt.date(2099, 12, 31)
 
+def trading_dates(df: DataFrame, date_col: str = "date", begin=None, end=None) -> DataFrame:
+    """Distinct dates of a column, unordered; with ``begin`` or ``end``, those inside."""
+    days = df.select(F.col(date_col).cast("date").alias("date")).where("date IS NOT NULL")
+    return _inside(days, begin, end).distinct()
 
-def trading_dates(df: DataFrame, date_col: str = "date", begin=FIRST_DAY, end=LAST_DAY) -> DataFrame:
-    """Distinct dates of a column inside [begin, end], unordered."""
-    begin, end = to_date(begin), to_date(end)
-    if (end - begin).days > 366 * 200:
-        raise ValueError("a calendar may span at most 200 years")
-    day = F.col(date_col).cast("date")
-    return df.select(day.alias("date")).where(F.col("date").between(F.lit(begin), F.lit(end))).distinct()
 
+def _inside(days: DataFrame, begin, end) -> DataFrame:
+    if begin is not None:
+        days = days.where(F.col("date") >= F.lit(to_date(begin)))
+    if end is not None:
+        days = days.where(F.col("date") <= F.lit(to_date(end)))
+    return days
 
-def trading_calendar(df: DataFrame, date_col: str = "date", begin=FIRST_DAY, end=LAST_DAY) -> DataFrame:
+
+def trading_calendar(df: DataFrame, date_col: str = "date", begin=None, end=None) -> DataFrame:
     """Calendar table (date, idx from 0, prev, next) from any table with dates."""
     order = W.orderBy("date")
     return trading_dates(df, date_col, begin, end).select(
@@ -42,8 +45,7 @@ def trading_calendar(df: DataFrame, date_col: str = "date", begin=FIRST_DAY, end
 
 
 def calendar_between(calendar: DataFrame, begin, end=None) -> DataFrame:
-    begin, end = to_date(begin), to_date(end) if end else LAST_DAY
-    return calendar.where(F.col("date").between(F.lit(begin), F.lit(end)))
+    return _inside(calendar, begin, end or None)
 
 
 def calendar_next(calendar: DataFrame, n: int = 1) -> DataFrame:
@@ -99,7 +101,7 @@ def shift_dates(
         if n == 0:
             raise ValueError("a shift by 0 trading days means nothing")
         n = F.lit(n)
-    days = df.select(date_col).where(F.col(date_col).between(F.lit(FIRST_DAY), F.lit(LAST_DAY)))
+    days = df.select(date_col).where(F.col(date_col).isNotNull())
     pos = ordinals(days, calendar, date_col)
     located = df.join(F.broadcast(pos), F.col(date_col) == F.col("__d"), "left")
     step = F.when(F.col("__trading") | (n < 0), n).otherwise(n - 1)

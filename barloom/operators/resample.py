@@ -234,6 +234,11 @@ def windows_complete(long: DataFrame, expected: int = 10) -> DataFrame:
     )
 
 
+def on_the_minute(time: str = "time") -> Column:
+    """Is it a whole minute, without seconds?"""
+    return F.date_trunc("minute", time) == F.col(time).cast("timestamp")
+
+
 def bars_at(bars_1m: DataFrame, slots: Sequence[str], time: str = "time") -> DataFrame:
     """Only the bars whose minute is one of the given ``HHMM`` labels."""
     return bars_1m.where(minute_of_day(time).isin([minute_of(s) for s in slots]))
@@ -256,8 +261,8 @@ def complete_symbols(bars_1m: DataFrame, slots: Sequence[str]) -> DataFrame:
 def slot_values(
     bars_1m: DataFrame, slots: Sequence[str], value: str = "close", index: Sequence[str] = KEYS
 ) -> DataFrame:
-    """One row per index with the value at each slot, columns named by the slot."""
-    rows = bars_at(bars_1m, slots).select(*index, value, minute_of_day("time").alias("__m"))
+    """One row per index with the value at exactly each slot's time, columns named by the slot."""
+    rows = bars_at(bars_1m, slots).where(on_the_minute()).select(*index, value, minute_of_day("time").alias("__m"))
     return rows.groupBy(*index).agg(*[value_at(s, value).alias(s) for s in slots])
 
 

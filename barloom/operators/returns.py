@@ -18,8 +18,7 @@ from barloom.functions.clock import minute_of, minute_of_day
 from barloom.functions.durations import parse_duration
 from barloom.functions.slots import ONE_MINUTE_SLOTS
 from barloom.functions.values import prefixed, require_columns, simple_return
-from barloom.operators.bounded import broadcast_if_small
-from barloom.operators.resample import KEYS, slot_values, value_at
+from barloom.operators.resample import KEYS, on_the_minute, slot_values, value_at
 
 # The eight half hours, entered five minutes late, as (begin, end).
 HALF_HOURS = (
@@ -29,9 +28,15 @@ HALF_HOURS = (
 HORIZONS = (1, 2, 3, 5)
 
 
-def adjusted_bars(bars_1m: DataFrame, factors: DataFrame) -> DataFrame:
-    """Minute bars with the daily adjustment factor of their symbol."""
-    return bars_1m.join(broadcast_if_small(factors.select(*KEYS, "adj_factor")), list(KEYS), "left")
+def adjusted_bars(bars_1m: DataFrame, factors: DataFrame, days: int | None = None) -> DataFrame:
+    """Minute bars with the daily adjustment factor of their symbol.
+
+    ``days``: the caller's word that ``factors`` covers so many days at most. A
+    span of 60 days or less (12 bytes for each symbol-day) is broadcast, so the
+    bars stay where they are; otherwise Spark chooses the join when it runs.
+    """
+    daily = factors.select(*KEYS, "adj_factor")
+    return bars_1m.join(F.broadcast(daily) if days is not None and days <= 60 else daily, list(KEYS), "left")
 
 
 def _named(slot: str) -> str:
@@ -110,9 +115,11 @@ def price_table(
     price: str = "close",
 ) -> DataFrame:
     """Slot prices (named by slot) and interval VWAPs of a symbol-day in one aggregate."""
-    rows = bars_1m.select(*KEYS, price, "amount", "volume", minute_of_day("time").alias("__m"))
+    minute = minute_of_day("time").alias("__m")
+    exact = F.when(on_the_minute("time"), minute_of_day("time")).alias("__at")
+    rows = bars_1m.select(*KEYS, price, "amount", "volume", minute, exact)
     return rows.groupBy(*KEYS).agg(
-        *[value_at(s, price).alias(s) for s in close_slots], *vwap_columns(vwap_windows)
+        *[value_at(s, price, "__at").alias(s) for s in close_slots], *vwap_columns(vwap_windows)
     )
 
 
@@ -128,11 +135,12 @@ def forward_returns(
 
     ``columns`` maps a result name to its price column and ``adj`` names the
     daily adjustment factor. The price n trading days ahead is taken by
-    calendar position: no row that day means NULL.
+    calendar position: no row that day means NULL. A row whose own date is not
+    in the calendar stays, with NULL returns.
     """
     require_columns(prices, KEYS)
     positions = calendar.select("date", F.col("idx").alias("__idx"))
-    located = prices.join(F.broadcast(positions), "date")
+    located = prices.join(F.broadcast(positions), "date", "left")
     factor = f"`{adj}`" if adj else "1.0D"
     located = located.selectExpr(
         *KEYS, "__idx", *[f"`{c}`" for c in keep], *[f"`{p}` * {factor} AS `__{name}`" for name, p in columns.items()]
@@ -140,7 +148,8 @@ def forward_returns(
 
     def ahead(name: str, n: int) -> str:
         frame = f"PARTITION BY symbol ORDER BY __idx RANGE BETWEEN {n} FOLLOWING AND {n} FOLLOWING"
-        return f"try_divide(max(`__{name}`) OVER ({frame}), `__{name}`) - 1.0D AS `{name}_{n}D`"
+        later = f"CASE WHEN __idx IS NOT NULL THEN max(`__{name}`) OVER ({frame}) END"
+        return f"try_divide({later}, `__{name}`) - 1.0D AS `{name}_{n}D`"
 
     returns = [ahead(name, n) for name in columns for n in horizons]
     return located.selectExpr(*KEYS, *returns, *[f"`{c}`" for c in keep])

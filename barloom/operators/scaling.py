@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.bounded import BROADCAST_BYTES, is_small, row_bytes
+#: Statistics that may be broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def standardised(x: Column, mean: Column, std: Column) -> Column:
-    """(x - mean) / std, NULL where the standard deviation is zero or missing."""
-    return F.try_divide(x - mean, std)
+def by_position(df: DataFrame, columns: Sequence[str], key: str | None = None) -> DataFrame:
+    """(key, pos, v): a row for each cell, NaN as NULL; without ``key`` that is NULL too."""
+    cells = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in columns)
+    long = df.selectExpr(f"`{key}` AS key" if key else "NULL AS key", f"posexplode(array({cells})) AS (pos, raw)")
+    return long.selectExpr("key", "pos", "IF(isnan(raw), NULL, raw) AS v")
 
 
 @dataclass(frozen=True)
@@ -24,19 +27,28 @@ class ZScore:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str]) -> ZScore:
-        """One aggregate row: two numbers per column come to the driver, nothing else."""
-        stats = df.agg(*[f(F.col(f"`{c}`")) for c in columns for f in (F.avg, F.stddev_samp)]).first()
-        return cls({c: (stats[2 * i], stats[2 * i + 1]) for i, c in enumerate(columns)})
+        """Two numbers per column come to the driver, nothing else. NaN counts as NULL.
+
+        Columns become (position, value) rows and are aggregated by position,
+        so thousands of them stay within one generated aggregate.
+        """
+        stats = by_position(df, columns).groupBy("pos").agg(F.avg("v"), F.stddev_samp("v")).collect()
+        found = {columns[r[0]]: (r[1], r[2]) for r in stats}
+        return cls({c: found.get(c, (None, None)) for c in columns})
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = []
-        for c in df.columns:
-            x = F.col(f"`{c}`")
-            if c in self.params:
-                mean, std = (F.lit(v).cast("double") for v in self.params[c])
-                x = standardised(x, mean, std)
-            out.append(x.alias(c))
-        return df.select(*out)
+        """The fitted columns standardised, the others as they are."""
+
+        def number(v: float | None) -> str:
+            return "CAST(NULL AS DOUBLE)" if v is None else f"{v!r}D"
+
+        def cell(c: str) -> str:
+            if c not in self.params:
+                return f"`{c}`"
+            mean, std = map(number, self.params[c])
+            return f"try_divide(`{c}` - {mean}, {std}) AS `{c}`"
+
+        return df.selectExpr(*map(cell, df.columns))
 
     def to_table(self, spark: SparkSession) -> DataFrame:
         """(feature, mean, std) rows."""
@@ -47,29 +59,33 @@ class ZScore:
 class CrossSectionalZScore:
     """Standardise each column within its date.
 
-    Date statistics come from a grouped aggregate with partial sums and are
-    joined back, so a date is never gathered in one task.
+    Date statistics come from a grouped aggregate with partial sums, by
+    position as in :meth:`ZScore.fit`, and are joined back as two arrays a
+    date, so a date is never gathered in one task. NaN counts as NULL.
+    ``days``: the caller's word that there are so many dates at most; where
+    their statistics stay under ``BROADCAST_BYTES`` they are broadcast,
+    otherwise Spark chooses the join when it runs.
     """
 
-    def __init__(self, columns: Sequence[str], date_col: str = "date"):
-        self.columns, self.date_col = list(columns), date_col
+    def __init__(self, columns: Sequence[str], date_col: str = "date", days: int | None = None):
+        self.columns, self.date_col, self.days = list(columns), date_col, days
 
     def transform(self, df: DataFrame) -> DataFrame:
-        stats = df.groupBy(F.col(self.date_col).alias("__day")).agg(
-            *[f(F.col(f"`{c}`")).alias(f"__{n}_{c}") for c in self.columns for n, f in (("m", F.avg), ("s", F.stddev_samp))]
-        )
-        # One row per date: counting the dates is enough, and reads nothing else.
-        days = df.select(self.date_col).distinct()
-        small = is_small(days, BROADCAST_BYTES * row_bytes(days) // row_bytes(stats))
-        joined = df.join(F.broadcast(stats) if small else stats, F.col(self.date_col) == F.col("__day"))
-        return joined.select(
-            *[
-                standardised(F.col(f"`{c}`"), F.col(f"`__m_{c}`"), F.col(f"`__s_{c}`")).alias(c)
-                if c in self.columns
-                else F.col(f"`{c}`")
-                for c in df.columns
-            ]
-        )
+        at = {c: i for i, c in enumerate(self.columns)}
+        each = by_position(df, self.columns, self.date_col).groupBy("key", "pos")
+        pairs = each.agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s"))
+        stats = pairs.groupBy(F.col("key").alias("__day")).agg(F.sort_array(F.collect_list(F.struct("pos", "m", "s"))).alias("p"))
+        stats = stats.select("__day", F.col("p.m").alias("__m"), F.col("p.s").alias("__s"))
+        if self.days is not None and self.days * len(self.columns) * 16 <= BROADCAST_BYTES:
+            stats = F.broadcast(stats)
+        joined = df.join(stats, F.col(self.date_col) == F.col("__day"))
+
+        def cell(c: str) -> str:
+            if c not in at:
+                return f"`{c}`"
+            return f"try_divide(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)) - __m[{at[c]}], __s[{at[c]}]) AS `{c}`"
+
+        return joined.selectExpr(*map(cell, df.columns))
 
 
 def normaliser(name: str, train: DataFrame, columns: Sequence[str]):

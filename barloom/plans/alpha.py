@@ -78,7 +78,9 @@ def alpha_online(
     p = product(prod)
     x = [f"{b}_{o}_{s}" for s in p.slots for b in bars for o in ("mean", "std")]
     members = in_dates(universe, day, day) if universe is not None else None
-    features = online_features(in_dates(bars_1m, day, day), bars, (p.x_begin, p.x_end), members)
+    features = online_features(
+        in_dates(bars_1m, day, day), bars, (p.x_begin, p.x_end), members, one_day=True
+    )
     mine = models.where(F.col("prod") == prod)
     days = calendar_between(calendar, day, day).select("date")
     return alpha_rows(score_linear(features, mine, x, p.y_columns, n_latest, dates=days), prod, calendar)
@@ -92,5 +94,10 @@ def alpha_validity(alpha: DataFrame, by: Sequence[str] = ("date",)) -> DataFrame
 
 
 def write_alpha(alpha: DataFrame, path: str, prod: str) -> None:
-    """Write by product and date, replacing only the dates at hand."""
-    write_by_date(alpha.withColumn("prod", F.lit(prod)), path, ("prod", "date"))
+    """Write by product and date, replacing only the dates at hand.
+
+    A row without a date fails the write: its alpha is for a day past the end of
+    the calendar it was dated with, which must reach a day further.
+    """
+    missing = F.raise_error(F.lit("alpha without a date: the calendar ends too early")).cast("date")
+    write_by_date(alpha.withColumns({"prod": F.lit(prod), "date": F.coalesce("date", missing)}), path, ("prod", "date"))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from barloom.functions.slots import TEN_MINUTE_SLOTS, trading_slots
 from barloom.functions.values import nan_to_null
-from barloom.operators.bounded import is_small
 from barloom.operators.resample import KEYS, MEAN_STD, bars_at, resample_blocks, widen_blocks
 
 
@@ -30,17 +29,19 @@ def online_features(
     slot_range: tuple[str, str],
     universe: DataFrame | None = None,
     fill_nan: bool = True,
+    one_day: bool = False,
 ) -> DataFrame:
     """Wide features of the symbol-days with every one-minute bar of the range.
 
-    ``universe`` holds the (date, symbol) members. Membership is applied to the
-    minute bars when it is small enough to broadcast, otherwise to the
-    ten-minute rows, so the minute bars are never shuffled for it.
+    ``universe`` holds the (date, symbol) members. With ``one_day``, the
+    caller's word that it has the symbols of a single day, membership is
+    broadcast to the minute bars, otherwise it is applied to the ten-minute
+    rows; so the minute bars are never shuffled for it.
     Completeness is likewise applied after the aggregation.
     """
     minutes = trading_slots(*slot_range, closed="right")
     rows = bars_at(bars_1m, minutes)
-    small = universe is not None and is_small(universe.select(*KEYS))
+    small = universe is not None and one_day
     if small:
         rows = rows.join(F.broadcast(universe.select(*KEYS)), list(KEYS), "left_semi")
     stats = resample_blocks(rows, bars, MEAN_STD, outside=True)

@@ -55,6 +55,7 @@ def adjusted_bar_source(bars_1m: DataFrame, factors: DataFrame) -> Callable[[dt.
     """Source of minute bars with their daily adjustment factor, for :func:`load_item`."""
 
     def source(first: dt.date, last: dt.date) -> DataFrame:
-        return adjusted_bars(in_dates(bars_1m, first, last), in_dates(factors, first, last))
+        days = (last - first).days + 1
+        return adjusted_bars(in_dates(bars_1m, first, last), in_dates(factors, first, last), days)
 
     return source

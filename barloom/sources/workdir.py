@@ -11,8 +11,12 @@ from pyspark.sql import SparkSession
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared ``spark.checkpoint.dir`` of the cluster.
 
-    Only where that setting is absent (local tests) is a temporary folder used.
+    Only a local session without that setting gets a temporary folder; on a
+    cluster every machine would write to a disk of its own, so that raises.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.conf.get("spark.master", "")
+    if not shared and not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
     base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="barloom-")
     return f"{base}/{name}-{uuid.uuid4().hex}"

@@ -364,11 +364,10 @@ def parse_dates(spark, sf_dir):
         .when(F.col("o_custkey") % 4 == 2, F.concat(F.lit("bad"), F.col("o_custkey")))
         .otherwise(F.date_format(day, "yyyy-'13'-dd"))
     )
-    last = orders.agg(F.max(day).alias("last")).select(dates.year_end_of("last").alias("last_year_end"))
-    parsed = orders.select("o_orderkey", text.alias("text")).select(
-        "o_orderkey", "text", dates.ymd(dates.parse_date("text")).alias("ymd")
+    last = orders.agg(F.max(day).alias("last")).select(dates.year_end_of("last").alias("last_year_end")).scalar()
+    return orders.select("o_orderkey", text.alias("text")).select(
+        "o_orderkey", "text", dates.ymd(dates.parse_date("text")).alias("ymd"), last.alias("last_year_end")
     )
-    return parsed.join(F.broadcast(last))  # one row
 
 
 @query("""WITH texts AS (SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN '' ELSE (o_custkey % 5) || 'd' END

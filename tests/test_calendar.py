@@ -32,7 +32,7 @@ def test_table(spark, days):
     nxt = {r["date"]: r["next"] for r in cal.calendar_next(days, 3).collect()}
     assert nxt[DAYS[0]] == DAYS[3] and nxt[DAYS[-3]] is None
     with pytest.raises(ValueError):
-        cal.trading_dates(days, begin="1000-01-01")
+        cal.trading_dates(days, begin="1000-13-01")
 
 
 def expected_shift(d, n):

@@ -76,11 +76,62 @@ def test_linear_scores(spark, models):
         scoring.score_linear(data, models, ["a", "b"], ["y2"], 1).collect()
 
 
-def test_large_models_are_joined_not_broadcast(spark, models, monkeypatch):
-    data = spark.createDataFrame([(DAYS[6], "A", 3.0, 4.0)], "date date, symbol string, a double, b double").withColumn("flat", F.lit(1.0))
-    want = scoring.score_linear(data, models, ["a", "b", "flat"], ["y1"], 2).collect()
-    monkeypatch.setattr(scoring, "is_small", lambda df: False)
-    assert scoring.score_linear(data, models, ["a", "b", "flat"], ["y1"], 2).collect() == want
+def test_long_histories_of_models_are_cut(spark, models, monkeypatch):
+    data = spark.createDataFrame(
+        [(d, "A", 3.0, 4.0, 1.0) for d in DAYS[:12]] * 2, "date date, symbol string, a double, b double, flat double"
+    )
+    want = sorted(scoring.score_linear(data, models, ["a", "b", "flat"], ["y1"], [1, 3]).collect())
+    assert len(want) == 40  # rows keep their multiplicity
+    monkeypatch.setattr(scoring, "SENT_BYTES", 1)
+    monkeypatch.setattr(scoring, "SLICE_BYTES", 50)
+    assert sorted(scoring.score_linear(data, models, ["a", "b", "flat"], ["y1"], [1, 3]).collect()) == want
+    days = data.select("date").where(F.col("date") > DAYS[6]).distinct()
+    late = data.join(days, "date")
+    got = scoring.score_linear(late, models, ["a", "b", "flat"], ["y1"], [1, 3], dates=days)
+    assert sorted(got.collect()) == [r for r in want if r["date"] > DAYS[6]]
+
+
+def test_partial_models(spark):
+    rows = [
+        ("P", DAYS[2], "y1", "(intercept)", 7.0, None, None),
+        ("P", DAYS[3], "y2", "a", 2.0, 1.0, 2.0), ("P", DAYS[3], "y2", "a", 4.0, 1.0, 2.0),
+        ("P", DAYS[3], "y2", "b", float("nan"), 0.0, 1.0), ("P", DAYS[3], "y2", "b", 5.0, float("nan"), 1.0),
+        ("P", DAYS[3], "y2", "(intercept)", None, None, None),
+    ]
+    models = spark.createDataFrame(rows, MODELS)
+    data = spark.createDataFrame([(DAYS[2], "A", 3.0, 1.0), (DAYS[4], "A", 3.0, 1.0), (None, "A", 1.0, 1.0)], "date date, symbol string, a double, b double")
+    dense = by_key(scoring.score_linear(data, models, ["a", "b"], ["y1", "y2"], 2), "date", "symbol")
+    assert tuple(dense[(DAYS[2], "A")])[2:] == (7.0, None)
+    assert tuple(dense[(DAYS[4], "A")])[2:] == (7.0, 6.0)
+    singles = scoring.linear_predictions(data, models, ["a", "b"], 2)
+    assert by_key(scoring.ensemble(singles, ["y1", "y2"], 2), "date", "symbol") == dense
+
+
+def test_nan_in_training(spark):
+    rows = [(DAYS[0], f"S{i}", float(i), float("nan") if i == 3 else float(i % 7), 2.0 * i - (i % 7) if i != 3 else float("nan")) for i in range(60)]
+    train = spark.createDataFrame(rows, "date date, symbol string, a double, b double, y double")
+    models = training.train_linear(train, ["a", "b"], ["y"], "P", DAYS[0])
+    w = by_key(models, "feature")
+    assert w[("b",)]["weight"] / w[("b",)]["std"] == pytest.approx(-1, rel=1e-6)
+    scored = scoring.score_linear(train, models, ["a", "b"], ["y"], 1).collect()
+    assert len(scored) == 60 and all(r["y"] is not None for r in scored)
+
+
+def test_null_matrices(spark):
+    frame = spark.createDataFrame([(1, [[1.0, 2.0]]), (2, None), (3, [[None, 4.0]])], "k int, x array<array<double>>")
+    got = scoring.score_with(frame, lambda x: np.nansum(x, axis=(1, 2))[:, None], ["y"], (1, 2)).collect()
+    assert {(r["k"], r["y"]) for r in got} == {(1, 3.0), (2, 0.0), (3, 4.0)}
+
+
+def test_wide_normalisers(spark):
+    columns = [f"c{i}" for i in range(600)]
+    frame = spark.range(20).selectExpr("id", "CAST('2024-01-0' || (id % 2 + 1) AS DATE) AS date", *[f"CAST(id * {i} AS DOUBLE) AS c{i}" for i in range(600)])
+    fitted = scaling.ZScore.fit(frame, columns)
+    assert fitted.params["c0"] == (0.0, 0.0) and fitted.params["c599"][0] == pytest.approx(9.5 * 599)
+    row = fitted.transform(frame).where("id = 19").first()
+    assert row["c0"] is None and row["c599"] == pytest.approx(row["c1"]) and row["c1"] == pytest.approx(9.5 / statistics.stdev(range(20)))
+    daily = scaling.CrossSectionalZScore(columns, days=2).transform(frame).where("id = 19").first()
+    assert daily["c7"] == pytest.approx(9 / statistics.stdev(range(1, 20, 2)))
 
 
 def test_matrices_and_any_model(spark, models):
@@ -147,6 +198,8 @@ def test_alpha(spark, days, tmp_path):
     assert by_key(alpha.alpha_rows(same_day, "1000", days), "date", "symbol")[(DAYS[4], "A")]["time"].hour == 10
     path = str(tmp_path / "alpha")
     alpha.write_alpha(rows, path, "0930")
+    with pytest.raises(Exception, match="calendar ends too early"):
+        alpha.write_alpha(rows.withColumn("date", F.lit(None).cast("date")), path, "0930")
     alpha.write_alpha(rows.where(F.col("date") == DAYS[6]).withColumn("alpha", F.lit(9.0)), path, "0930")
     back = by_key(spark.read.parquet(path), "date", "symbol")
     assert len(back) == 3 and back[(DAYS[6], "A")]["alpha"] == 9.0 and back[(DAYS[5], "A")]["alpha"] == 0.5

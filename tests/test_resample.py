@@ -104,11 +104,10 @@ def test_completeness_is_per_symbol_and_day(spark):
     assert got == {(D1, "A"), (D2, "A"), (D2, "B"), (D1, "C"), (D1, "E")}
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_online_features(spark, monkeypatch, small):
-    monkeypatch.setattr(panel, "is_small", lambda df: small)
+@pytest.mark.parametrize("one_day", [True, False])
+def test_online_features(spark, one_day):
     univ = spark.createDataFrame([(d, s) for d in (D1, D2) for s in "ABCX"], "date date, symbol string")
-    out = panel.online_features(_morning(spark), ["x", "n"], ("0930", "1000"), univ)
+    out = panel.online_features(_morning(spark), ["x", "n"], ("0930", "1000"), univ, one_day=one_day)
     got = as_dict(out, "date", "symbol")
     assert set(got) == {(D1, "A"), (D2, "A"), (D2, "B"), (D1, "C")}
     assert got[(D2, "B")]["x_mean_0950"] == 2.0 and got[(D1, "C")]["x_mean_0940"] == 1.0

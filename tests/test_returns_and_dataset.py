@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.functions.slots import trading_slots
-from barloom.operators import bounded, calendar as cal, resample, returns
+from barloom.operators import calendar as cal, datesets, returns
 from barloom.plans import dataset, return_tables
 from barloom.sources import incremental, readers, sinks, workdir
 
@@ -183,13 +183,26 @@ def test_hot_date_is_split_over_tasks(spark, tmp_path):
     assert files > 1 and spark.read.parquet(path).count() == 202_000
 
 
-def test_broadcast_only_when_small(spark):
-    small, large = spark.range(10), spark.range(100_000)
-    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(bounded.broadcast_if_small(small, 10_000))
-    assert "broadcast" not in plan(bounded.broadcast_if_small(large, 10_000))
+def test_missing_columns_raise(spark):
     with pytest.raises(ValueError):
-        resample.slot_values(small, ["0931"]) if "time" in small.columns else returns.interval_vwap(small)
+        returns.interval_vwap(spark.range(10))
+
+
+def test_dates_are_not_cut(spark):
+    old = spark.createDataFrame([("1985-01-02",), ("1995-01-03",), (None,)], "date string")
+    assert datesets.pending_dates(old, old.limit(0)).count() == 2
+    assert datesets.ready_dates(old, old, hold_back=1).first()["date"] == dt.date(1985, 1, 2)
+    calendar = cal.trading_calendar(old)
+    assert calendar.count() == 2
+    moved = cal.shift_dates(calendar.select("date"), calendar, 1).where("shifted IS NOT NULL").first()
+    assert tuple(moved) == (dt.date(1985, 1, 2), dt.date(1995, 1, 3))
+
+
+def test_rows_off_the_calendar_stay(spark):
+    calendar = cal.trading_calendar(spark.createDataFrame([(DAYS[0],), (DAYS[2],)], "date date"))
+    prices = spark.createDataFrame([(d, "A", float(i + 1)) for i, d in enumerate(DAYS[:3])], "date date, symbol string, p double")
+    got = returns.forward_returns(prices, calendar, {"r": "p"}, [1]).orderBy("date").collect()
+    assert [(r["date"], r["r_1D"]) for r in got] == [(DAYS[0], 2.0), (DAYS[1], None), (DAYS[2], None)]
 
 
 def test_work_folder(spark):
