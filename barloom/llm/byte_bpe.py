@@ -10,17 +10,20 @@ import base64
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import slices
+from barloom.llm.common import bounded_batches, slices
 
-#: Words whose tokens a Python worker remembers.
-REMEMBERED = 250_000
+#: Words, and matches of the pattern in them, whose tokens a Python worker remembers: so many, and as many used before
+#: those. About 200 bytes each.
+WORDS, MATCHES = 200_000, 500_000
 
 #: A cut before a blank that a non-blank follows never divides a match of the splitting pattern.
 _CUT = re.compile(r"(?= \S)")
@@ -70,10 +73,29 @@ def tokenizer_json(ranks: dict[bytes, int], pattern: str) -> str:
     )
 
 
+class Remembered:
+    """A bounded dictionary: a full generation of keys becomes the older one, and what is used of it is kept on."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.before = most, {}, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Those of ``keys`` that are not remembered; all others are in ``now`` afterwards."""
+        if len(self.now) + len(keys) > self.most:
+            self.now, self.before = {}, self.now
+        new = []
+        for key in keys.difference(self.now):
+            if (value := self.before.get(key)) is None:
+                new.append(key)
+            else:
+                self.now[key] = value
+        return new
+
+
 class Codec:
-    """Encodes and decodes in a task. Tokens of words seen before are looked up."""
+    """Encodes and decodes in a task. Tokens of words, and of matches of the pattern in them, seen before are looked up."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -86,20 +108,21 @@ class Codec:
         self.sizes = np.array([len(t) for t in table], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.flat = np.frombuffer(b"".join(table), np.uint8)
-        self.seen: dict[str, bytes] = {}
+        self.seen, self.matches = Remembered(WORDS), Remembered(MATCHES)
+        self.pattern = regex.compile(pattern)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text. Texts are cut into words where no token can lie across the cut."""
         words = [self.words(t) for t in texts]
-        new = [w for w in set().union(*words) if w not in self.seen]
-        if len(self.seen) + len(new) > REMEMBERED:
-            self.seen.clear()
-            new = list(set().union(*words))
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.seen.update(zip(some, (np.array(e.ids, np.int32).tobytes() for e in found), strict=True))
-        return [np.frombuffer(b"".join(map(self.seen.__getitem__, w)), np.int32) for w in words]
+        new = self.seen.missing(set().union(*words))
+        parts = list(map(self.pattern.findall, new))
+        fresh = self.matches.missing(set().union(*parts))
+        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+        known = self.matches.now
+        known.update(zip(fresh, (array("i", e.ids).tobytes() for e in found), strict=True))
+        self.seen.now.update((w, b"".join(map(known.__getitem__, p))) for w, p in zip(new, parts, strict=True))
+        known = self.seen.now
+        return [np.frombuffer(b"".join(map(known.__getitem__, w)), np.int32) for w in words]
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -125,8 +148,8 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def codec(definition: str) -> Codec:
-    return Codec(definition)
+def codec(definition: str, pattern: str) -> Codec:
+    return Codec(definition, pattern)
 
 
 class ByteBPE:
@@ -134,7 +157,7 @@ class ByteBPE:
 
     def __init__(self, spark, rank_path: str, pattern: str):
         # one vocabulary, of a size that does not depend on the data
-        self.definition = spark.sparkContext.broadcast(tokenizer_json(read_ranks(rank_path), pattern))
+        self.definition = spark.sparkContext.broadcast((tokenizer_json(read_ranks(rank_path), pattern), pattern))
 
     def encode(self, docs: DataFrame, text: str = "text", into: str = "ids", offsets: bool = False) -> DataFrame:
         """``docs`` with the ids in a column ``into`` (array of int), or with ``offsets`` a struct of ids, starts, ends.
@@ -146,7 +169,7 @@ class ByteBPE:
 
         @F.arrow_udf(kind)
         def encoded(column: pa.Array) -> pa.Array:
-            own = codec(definition.value)
+            own = codec(*definition.value)
             parts = [x for some in slices(column) for x in own.encode(some)]
             ids = _lists(parts)
             if not offsets:
@@ -155,27 +178,27 @@ class ByteBPE:
             starts, ends = _lists([s for s, _ in spans]), _lists([e for _, e in spans])
             return pa.StructArray.from_arrays([ids, starts, ends], ["ids", "starts", "ends"])
 
-        return docs.withColumn(into, encoded(F.col(text)))
+        return bounded_batches(docs).withColumn(into, encoded(F.col(text)))
 
-    def decode(self, tokens: DataFrame, ids: str = "ids", into: str = "decoded") -> DataFrame:
-        """``tokens`` with a struct ``into`` of the decoded ``bytes`` and ``text``.
+    def decode(self, tokens: DataFrame, ids: str = "ids", into: str = "decoded", as_text: bool = False) -> DataFrame:
+        """``tokens`` with the decoded bytes in a binary column ``into``, or with ``as_text`` their text.
 
-        Ids that end within a character give its bytes, and in the text a replacement character. Null ids decode to
+        Ids that end within a character give its bytes, and in a text a replacement character. Null ids decode to
         nothing; an id outside of the vocabulary fails the job.
         """
         definition = self.definition
 
-        @F.arrow_udf("struct<bytes:binary, text:string>")
+        @F.arrow_udf("string" if as_text else "binary")
         def decoded(column: pa.Array) -> pa.Array:
-            own, out, texts = codec(definition.value), [], []
+            own, out = codec(*definition.value), []
             for k in range(len(column)):
                 row = column[k].values
-                data = own.to_bytes(row.to_numpy(zero_copy_only=False)).tobytes() if row is not None else b""
-                out.append(data)
-                texts.append(data.decode("utf-8", "replace"))
-            return pa.StructArray.from_arrays([pa.array(out, pa.binary()), pa.array(texts, pa.string())], ["bytes", "text"])
+                out.append(own.to_bytes(row.to_numpy(zero_copy_only=False)).tobytes() if row is not None else b"")
+            if as_text:
+                return pa.array([data.decode("utf-8", "replace") for data in out], pa.string())
+            return pa.array(out, pa.binary())
 
-        return tokens.withColumn(into, decoded(F.col(ids)))
+        return bounded_batches(tokens).withColumn(into, decoded(F.col(ids)))
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -197,5 +220,5 @@ def token_digests(bpe: ByteBPE, docs: DataFrame, doc_id: str = "doc_id", text: s
         *(["ids"] if keep_ids else []),
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded.bytes"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
