@@ -620,6 +620,30 @@ def linear_score_several(spark, sf_dir):
     return fixed(scoring.score_linear(_morning_wide(spark, sf_dir), _models1000(spark, sf_dir), X1000, Y1000, [1, 3]))
 
 
+def _partial_models(spark, sf_dir):
+    """Models of which the earliest milestone lacks one label."""
+    models = _models1000(spark, sf_dir)
+    first = models.agg(F.min("milestone").alias("m")).scalar()
+    return models.where(~((F.col("y") == Y1000[1]) & (F.col("milestone") == first)))
+
+
+PARTIAL_SQL = PRED_CTE + "SELECT date, symbol, " + ", ".join(
+    r(f"avg(CASE WHEN y = '{y}' AND NOT (y = '{Y1000[1]}' AND milestone = (SELECT min(milestone) FROM models WHERE prod = '1000')) THEN pred END)", y)
+    for y in Y1000
+) + " FROM preds GROUP BY date, symbol"
+
+
+@query(PARTIAL_SQL)
+def score_partial_labels(spark, sf_dir):
+    return fixed(scoring.score_linear(_morning_wide(spark, sf_dir), _partial_models(spark, sf_dir), X1000, Y1000, 3))
+
+
+@query(PARTIAL_SQL)
+def score_partial_labels_joined(spark, sf_dir):
+    preds = scoring.linear_predictions(_morning_wide(spark, sf_dir), _partial_models(spark, sf_dir), X1000, 3)
+    return fixed(scoring.ensemble(preds, Y1000, 3))
+
+
 @query(f"""SELECT date, symbol, CAST(s AS INTEGER) AS slot_pos, CAST(f AS INTEGER) AS feature_pos,
   {r("CASE f WHEN 0 THEN close_mean WHEN 1 THEN close_std WHEN 2 THEN volume_mean ELSE volume_std END", 'value')}
 FROM (SELECT DISTINCT date, symbol FROM slotted WHERE slot IN ('0940', '0950', '1000'))
@@ -664,6 +688,21 @@ def trained_model(spark, sf_dir):
     return fixed(training.train_linear(train, ["volume", "total_trades"], ["range"], "1000", "2024-01-17"), 4)
 
 
+@query(f"""WITH raw AS (SELECT volume AS a, CASE WHEN total_trades % 5 = 0 THEN NULL ELSE CAST(total_trades AS DOUBLE) END AS b, high - low AS y FROM bar_1m WHERE date <= DATE '2024-01-16'),
+z AS (SELECT (a - avg(a) OVER ()) / stddev_samp(a) OVER () AS a, coalesce((b - avg(b) OVER ()) / stddev_samp(b) OVER (), 0) AS b, y FROM raw),
+m AS (SELECT covar_pop(a, y) AS ay, covar_pop(b, y) AS "by", covar_pop(a, b) AS ab, var_pop(a) AS aa, var_pop(b) AS bb, avg(y) AS my FROM z),
+w AS (SELECT (ay * bb - "by" * ab) / (aa * bb - ab * ab) AS wa, ("by" * aa - ay * ab) / (aa * bb - ab * ab) AS wb, my FROM m),
+s AS (SELECT avg(a) AS ma, stddev_samp(a) AS sa, avg(b) AS mb, stddev_samp(b) AS sb FROM raw)
+SELECT '1000' AS prod, DATE '2024-01-17' AS milestone, 'range' AS y, feature, {r('weight', 'weight', 4)}, {r('mean', 'mean', 4)}, {r('std', 'std', 4)} FROM (
+  SELECT '(intercept)' AS feature, my AS weight, NULL::DOUBLE AS mean, NULL::DOUBLE AS std FROM w
+  UNION ALL SELECT 'volume', wa, ma, sa FROM w, s UNION ALL SELECT 'total_trades', wb, mb, sb FROM w, s)""")
+def trained_model_nan(spark, sf_dir):
+    gap = F.when(F.col("total_trades") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("total_trades"))
+    bars = fx.bar_1m(spark, sf_dir).withColumn("range", F.col("high") - F.col("low")).withColumn("total_trades", gap)
+    train = bars.where(F.col("date") <= F.lit("2024-01-16").cast("date"))
+    return fixed(training.train_linear(train, ["volume", "total_trades"], ["range"], "1000", "2024-01-17"), 4)
+
+
 # --- Alpha ------------------------------------------------------------------------------------------------------
 
 
