@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from barloom.llm.common import bounded_batches, slices
 
 #: Words, and matches of the pattern in them, whose tokens a Python worker remembers: so many, and as many used before
-#: those. About 200 bytes each.
-WORDS, MATCHES = 200_000, 500_000
+#: those. About 200 bytes each, and a worker that waits for its next task keeps them.
+WORDS, MATCHES = 50_000, 250_000
 
 #: A cut before a blank that a non-blank follows never divides a match of the splitting pattern.
 _CUT = re.compile(r"(?= \S)")
@@ -180,6 +180,22 @@ class ByteBPE:
 
         return bounded_batches(docs).withColumn(into, encoded(F.col(text)))
 
+    def round_trip(self, docs: DataFrame, text: str = "text", into: str = "tokens") -> DataFrame:
+        """``docs`` with a struct ``into`` of the ids and the bytes they decode to, as :meth:`encode` and :meth:`decode`.
+
+        Both in one Python worker: two steps would run, and hold the vocabulary, in two workers for each core.
+        """
+        definition = self.definition
+
+        @F.arrow_udf("struct<ids:array<int>, decoded:binary>")
+        def there_and_back(column: pa.Array) -> pa.Array:
+            own = codec(*definition.value)
+            parts = [x for some in slices(column) for x in own.encode(some)]
+            decoded = pa.array([own.to_bytes(x).tobytes() for x in parts], pa.binary())
+            return pa.StructArray.from_arrays([_lists(parts), decoded], ["ids", "decoded"])
+
+        return bounded_batches(docs).withColumn(into, there_and_back(F.col(text)))
+
     def decode(self, tokens: DataFrame, ids: str = "ids", into: str = "decoded", as_text: bool = False) -> DataFrame:
         """``tokens`` with the decoded bytes in a binary column ``into``, or with ``as_text`` their text.
 
@@ -214,7 +230,7 @@ def token_digests(bpe: ByteBPE, docs: DataFrame, doc_id: str = "doc_id", text: s
     ``keep_ids``: the ids come along as a column ``ids``.
     """
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    both = bpe.decode(bpe.encode(texts, "text", "ids").drop("text"), "ids", "decoded")
+    both = bpe.round_trip(texts).select("doc_id", "tokens.*")
     return both.select(
         "doc_id",
         *(["ids"] if keep_ids else []),
