@@ -20,3 +20,9 @@ def work_folder(spark: SparkSession, name: str) -> str:
         raise ValueError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
     base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="barloom-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a work folder that nothing reads any more, wherever Spark keeps it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
