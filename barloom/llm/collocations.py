@@ -35,7 +35,7 @@ class Mining:
 
     least: int = 10
     words: int = 3
-    shards: int = 4
+    shards: int = 3
     bits: int = 23
 
 
@@ -68,51 +68,61 @@ def place(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def counted(lang: str, bodies: list[bytes], stop: int, stops: list[np.ndarray], mining: Mining) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, phrase, words, since, n) of the phrases that are active at this stop, in the given texts."""
+    """Rows (key, since, n) of the phrases that are active at this stop, in the given texts.
+
+    The key is the language, a tab and the phrase; that of the empty phrase counts all words.
+    """
     whole = (b" " + _BREAK + b" ").join(b.replace(_BREAK, b" " + _BREAK + b" ") for b in bodies)
     tokens = pc.split_pattern(pa.array([whole], pa.large_binary()), pattern=b" ").flatten().dictionary_encode()
     words, code = tokens.dictionary, tokens.indices.to_numpy()
-    known = {w: k for k, w in enumerate(words.to_pylist()) if w in (b"", _BREAK)}
+    spelt = words.to_pylist()
+    known = {w: k for k, w in enumerate(spelt) if w in (b"", _BREAK)}
     code = code[code != known.get(b"", -1)].astype(np.int64)
-    if not len(code):
-        return
     inside = code != known.get(_BREAK, -1)
-    of_word = np.array([word_hash(lang, w) for w in words.to_pylist()], np.uint64)[code]
-
-    def rows(at: np.ndarray, n: np.ndarray, length: int, since: np.ndarray) -> Iterator[pa.RecordBatch]:
-        parts = [words.take(pa.array(code[at + k])) for k in range(length)]
-        phrase = parts[0] if length == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
-        for start in range(0, len(at), 1 << 16):
-            own = slice(start, start + (1 << 16))
-            size = len(n[own])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * size), phrase[own].cast(pa.large_string()).cast(pa.string()), pa.array(np.full(size, length, np.int32)),
-                 pa.array(since[own].astype(np.int32)), pa.array(n[own].astype(np.int64))],
-                ["lang", "phrase", "words", "since", "n"],
-            )
+    if not inside.any():
+        return
+    prefix = lang.encode() + b"\t"
+    begun = pc.binary_join_element_wise(pa.scalar(prefix, pa.large_binary()), words, pa.scalar(b"", pa.large_binary()))
+    hashes = np.array([word_hash(lang, w) for w in spelt], np.uint64)
+
+    def rows(keys: pa.Array, since: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys = keys.cast(pa.large_string())
+        for start in range(0, len(n), 1 << 16):
+            some = slice(start, start + (1 << 16))
+            columns = keys[some].cast(pa.string()), pa.array(since[some].astype(np.int32)), pa.array(n[some].astype(np.int64))
+            yield pa.RecordBatch.from_arrays(list(columns), ["key", "since", "n"])
 
     if stop < mining.shards:
-        at = np.flatnonzero(inside)
-        first, n = np.unique(code[at], return_index=True, return_counts=True)[1:]
-        yield from rows(at[first], n, 1, np.zeros(len(n), np.int32))
-    hashes, there, width = of_word, inside, len(words)
+        n = np.bincount(code[inside], minlength=len(spelt))
+        at = np.flatnonzero(n)
+        yield from rows(begun.take(pa.array(at)), np.zeros(len(at)), n[at])
+        yield from rows(pa.array([prefix], pa.large_binary()), np.zeros(1), np.array([n.sum()]))
+    width, there, of_phrase = len(spelt), inside, hashes[code]
     for length in range(2, mining.words + 1):
         # at each position the phrase of so many words that begins there: since when, by its two subphrases
-        sub = np.where(there, stops[length - 2][place(hashes, mining.bits)], np.uint8(NEVER))
+        sub = np.where(there, stops[length - 2][place(of_phrase, mining.bits)], np.uint8(NEVER))
         since = np.maximum(sub[:-1], sub[1:])
         there = there[:-1] & inside[length - 1 :]
-        hashes = longer(hashes[:-1], of_word[length - 1 :])
+        of_phrase = longer(of_phrase[:-1], hashes[code[length - 1 :]])
         at = np.flatnonzero(there & (since <= stop) & (since + np.int64(mining.shards) > stop))
         if not len(at):
             continue
-        key, most = code[at], width
+        # phrases of one word more are numbered by (number of the phrase, last word) until all words are in
+        number, spellings = code[at], [np.arange(width)]
         for k in range(1, length):
-            if most >= 1 << 62 // width:
-                distinct, key = np.unique(key, return_inverse=True)
-                most = len(distinct)
-            key, most = key * width + code[at + k], most * width
-        first, n = np.unique(key, return_index=True, return_counts=True)[1:]
-        yield from rows(at[first], n, length, since[at[first]])
+            pairs = number * width + code[at + k]
+            if k < length - 1:
+                distinct, number = np.unique(pairs, return_inverse=True)
+            else:
+                distinct, n = np.unique(pairs, return_counts=True)
+            spellings = [x[distinct // width] for x in spellings] + [distinct % width]
+        parts = [begun.take(pa.array(spellings[0])), *(words.take(pa.array(x)) for x in spellings[1:])]
+        phrase = [hashes[x] for x in spellings]
+        first, last = phrase[0], phrase[1]
+        for more, h in enumerate(phrase[1:-1]):
+            first, last = longer(first, h), longer(last, phrase[more + 2])
+        begins = np.maximum(*(stops[length - 2][place(h, mining.bits)] for h in (first, last)))
+        yield from rows(pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())), begins, n)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
@@ -132,13 +142,14 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
     yield from held.items()
 
 
-def _fresh(state: DataFrame, mining: Mining, shared) -> DataFrame:
-    """Rows (words, place) of the entries that frequent phrases of ``state`` reach for the first time."""
+def _fresh(often: DataFrame, mining: Mining, shared) -> DataFrame:
+    """Rows (words, place) of the entries that the frequent phrases ``often`` reach for the first time."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = set()
-            for lang, phrase in zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist(), strict=True):
+            for key in batch["key"].to_pylist():
+                lang, phrase = key.rsplit("\t", 1)
                 hashes = [np.array([word_hash(lang, w)], np.uint64) for w in phrase.encode().split(b" ")]
                 whole = hashes[0]
                 for h in hashes[1:]:
@@ -149,13 +160,13 @@ def _fresh(state: DataFrame, mining: Mining, shared) -> DataFrame:
             columns = zip(*sorted(found), strict=True) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()) for c in columns], ["words", "place"])
 
-    often = state.filter((F.col("n") >= mining.least) & (F.col("words") < mining.words)).select("lang", "phrase")
-    return often.mapInArrow(places, "words int, place int").distinct()
+    short = often.filter(F.col("words").between(1, mining.words - 1)).select("key")
+    return short.mapInArrow(places, "words int, place int").distinct()
 
 
 def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", mining: Mining = Mining()) -> tuple[DataFrame, DataFrame]:
     """(phrases, totals): rows (lang, phrase, words, n) of all phrases of up to ``mining.words`` words that occur
-    ``mining.least`` times or more, words too, and rows (lang, n) of all occurrences of words.
+    ``mining.least`` times or more, words too, and rows (lang, n) of all occurrences of words, if so many.
 
     The corpus is copied once, by shard. Open counts are one written table after each stop; the one before is deleted
     then. The tables of stops change on the driver alone, by the places that became frequent, no more than they have.
@@ -170,11 +181,11 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", minin
     dealt = docs.select(own, body, F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
     dealt.write.partitionBy("shard").parquet(copy)
     corpus = spark.read.schema("lang string, text string, shard int").parquet(copy)
-    schema = "lang string, phrase string, words int, since int, n bigint"
-    key = ("lang", "phrase", "words", "since")
+    schema, phrase = "key string, since int, n bigint", F.substring_index("key", "\t", -1)
+    words = F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ")))
 
     stops = [np.full(1 << mining.bits, NEVER, np.uint8) for _ in range(mining.words - 1)]
-    state, before, found, totals, stop, end = None, None, [], None, 0, shards
+    state, before, found, stop, end = None, None, [], 0, shards
     while stop < end:
         shared = spark.sparkContext.broadcast(stops)
 
@@ -185,30 +196,34 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", minin
         seen = bounded_batches(corpus).filter(F.col("shard") == stop % shards).select("lang", "text").mapInArrow(scan, schema)
         if state is not None:
             seen = seen.unionByName(state.filter(F.col("since") > stop - shards))
+        # those that began a cycle ago have met every shard now: of these only the frequent stay
+        whole = F.col("since") <= stop - shards + 1
+        summed = seen.groupBy("key").agg(F.max("since").alias("since"), F.sum("n").alias("n"))
         folder = work_folder(spark, "counts")
-        seen.groupBy(*key).agg(F.sum("n").alias("n")).write.parquet(folder)
+        summed.filter(~whole | (F.col("n") >= mining.least)).write.parquet(folder)
         state = spark.read.schema(schema).parquet(folder)
         if before:
             delete_folder(spark, before)
         before = folder
-        if stop >= shards - 1:  # those that began a cycle ago have met every shard
-            done = state.filter(F.col("since") == stop - shards + 1)
-            if stop == shards - 1:
-                totals = written(done.filter("words = 1").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-            found.append(written(done.filter(F.col("n") >= mining.least).select("lang", "phrase", "words", "n"), "phrases"))
-        fresh = _fresh(state, mining, shared).toArrow()
-        for words, at in ((w, fresh.filter(pc.equal(fresh["words"], w))["place"].to_numpy()) for w in range(1, mining.words)):
+        often = written(state.filter(F.col("n") >= mining.least).withColumns({"words": words, "whole": whole}), "often")
+        found.append(often.filter("whole").select(
+            F.expr("left(key, length(key) - length(substring_index(key, '\t', -1)) - 1)").alias("lang"), phrase.alias("phrase"), "words", "n"
+        ))
+        fresh = _fresh(often, mining, shared).toArrow()
+        for length in range(1, mining.words):
+            at = fresh.filter(pc.equal(fresh["words"], length))["place"].to_numpy()
             if len(at):
-                stops[words - 1][at] = stop + 1
+                stops[length - 1][at] = stop + 1
                 end = max(end, stop + 1 + shards)
         shared.unpersist()
         stop += 1
-    delete_folder(spark, before)
-    delete_folder(spark, copy)
     phrases = found[0]
     for more in found[1:]:
         phrases = phrases.unionByName(more)
-    return phrases, totals
+    phrases = written(phrases, "phrases")
+    delete_folder(spark, before)
+    delete_folder(spark, copy)
+    return phrases.filter("words > 0"), phrases.filter("words = 0").select("lang", "n")
 
 
 def exact_score(a: str, left: str, right: str) -> Column:
@@ -233,7 +248,7 @@ def collocations(
     and ids and other columns do not matter. A language without such a phrase, or a table without rows, has no row.
     """
     phrases, totals = phrase_counts(docs, lang, text, mining)
-    phrases = written(phrases.withColumnRenamed("n", "a"), "frequent")
+    phrases = phrases.withColumnRenamed("n", "a")
     long = phrases.filter("words > 1")
     pieces = F.split("phrase", " ")
     cuts = long.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
