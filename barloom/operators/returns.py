@@ -158,8 +158,10 @@ def forward_returns(
 def lag_table(df: DataFrame, calendar: DataFrame, prefix: str = "lag_") -> DataFrame:
     """The same rows dated one trading day earlier, value columns prefixed.
 
-    Rows of the first calendar day have no earlier day and are left out.
+    Rows of the first calendar day have no earlier day and are left out. Rows of a date that the calendar does not have
+    stay, with a NULL date.
     """
-    before = calendar.where(F.col("prev").isNotNull()).select("date", "prev")
-    dated = df.join(F.broadcast(before), "date").withColumn("date", F.col("prev")).drop("prev")
+    before = calendar.select("date", "prev", F.lit(True).alias("__known"))
+    dated = df.join(F.broadcast(before), "date", "left").where("__known IS NULL OR prev IS NOT NULL")
+    dated = dated.withColumn("date", F.col("prev")).drop("prev")
     return prefixed(dated.select(*df.columns), prefix)

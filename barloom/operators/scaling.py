@@ -8,15 +8,29 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.operators.moments import finite, mean_and_std, wide_moments
+
 #: Statistics that may be broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def by_position(df: DataFrame, columns: Sequence[str], key: str | None = None) -> DataFrame:
-    """(key, pos, v): a row for each cell, NaN as NULL; without ``key`` that is NULL too."""
-    cells = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in columns)
-    long = df.selectExpr(f"`{key}` AS key" if key else "NULL AS key", f"posexplode(array({cells})) AS (pos, raw)")
-    return long.selectExpr("key", "pos", "IF(isnan(raw), NULL, raw) AS v")
+#: Columns that are aggregated side by side; more go through vectors.
+FEW = 32
+
+
+def statistics(df: DataFrame, columns: Sequence[str], key: str | None = None) -> DataFrame:
+    """(key, mean, std): arrays over ``columns``, for each date of ``key`` (a NULL one too) or for all rows.
+
+    NaN counts as NULL. A statistic that is not finite, as of a column with an infinity, is NULL.
+    """
+    if len(columns) > FEW:
+        return mean_and_std(wide_moments(df, columns, key))
+    own = [f"`{key}` AS key" if key else "CAST(NULL AS DATE) AS key"]
+    own += [f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)) AS v{i}" for i, c in enumerate(columns)]
+    both = [f(f"v{i}").alias(f"{name}{i}") for i in range(len(columns)) for name, f in (("m", F.avg), ("s", F.stddev_samp))]
+    made = df.selectExpr(*own).groupBy("key").agg(*both) if both else df.selectExpr(*own).distinct()
+    arrays = [f"array({', '.join(finite(f'{n}{i}') for i in range(len(columns)))}) AS {name}" for n, name in (("m", "mean"), ("s", "std"))]
+    return made.selectExpr("key", *arrays)
 
 
 @dataclass(frozen=True)
@@ -29,12 +43,11 @@ class ZScore:
     def fit(cls, df: DataFrame, columns: Sequence[str]) -> ZScore:
         """Two numbers per column come to the driver, nothing else. NaN counts as NULL.
 
-        Columns become (position, value) rows and are aggregated by position,
-        so thousands of them stay within one generated aggregate.
+        A column with an infinity has no finite statistics: it gets NULLs, and is NULL when transformed.
         """
-        stats = by_position(df, columns).groupBy("pos").agg(F.avg("v"), F.stddev_samp("v")).collect()
-        found = {columns[r[0]]: (r[1], r[2]) for r in stats}
-        return cls({c: found.get(c, (None, None)) for c in columns})
+        found = statistics(df, columns).collect()
+        pairs = zip(found[0]["mean"], found[0]["std"]) if found else ((None, None) for _ in columns)
+        return cls(dict(zip(columns, pairs)))
 
     def transform(self, df: DataFrame) -> DataFrame:
         """The fitted columns standardised, the others as they are."""
@@ -59,9 +72,10 @@ class ZScore:
 class CrossSectionalZScore:
     """Standardise each column within its date.
 
-    Date statistics come from a grouped aggregate with partial sums, by
-    position as in :meth:`ZScore.fit`, and are joined back as two arrays a
-    date, so a date is never gathered in one task. NaN counts as NULL.
+    Date statistics come from partial sums (of a few columns) or vectors (of
+    many) and are joined back as two arrays a date, so a date is never gathered
+    in one task. NaN counts as NULL; a row without a date stays, its columns
+    NULL, and so does a column whose date holds an infinity.
     ``days``: the caller's word that there are so many dates at most; where
     their statistics stay under ``BROADCAST_BYTES`` they are broadcast,
     otherwise Spark chooses the join when it runs.
@@ -70,15 +84,17 @@ class CrossSectionalZScore:
     def __init__(self, columns: Sequence[str], date_col: str = "date", days: int | None = None):
         self.columns, self.date_col, self.days = list(columns), date_col, days
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        at = {c: i for i, c in enumerate(self.columns)}
-        each = by_position(df, self.columns, self.date_col).groupBy("key", "pos")
-        pairs = each.agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s"))
-        stats = pairs.groupBy(F.col("key").alias("__day")).agg(F.sort_array(F.collect_list(F.struct("pos", "m", "s"))).alias("p"))
-        stats = stats.select("__day", F.col("p.m").alias("__m"), F.col("p.s").alias("__s"))
+    def with_statistics(self, df: DataFrame) -> DataFrame:
+        """``df`` with two arrays of its date, ``__m`` and ``__s``, NULL without a date."""
+        stats = statistics(df, self.columns, self.date_col).where("key IS NOT NULL")
+        stats = stats.selectExpr("key AS __day", "mean AS __m", "std AS __s")
         if self.days is not None and self.days * len(self.columns) * 16 <= BROADCAST_BYTES:
             stats = F.broadcast(stats)
-        joined = df.join(stats, F.col(self.date_col) == F.col("__day"))
+        return df.join(stats, F.col(self.date_col) == F.col("__day"), "left").drop("__day")
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        at = {c: i for i, c in enumerate(self.columns)}
+        joined = self.with_statistics(df)
 
         def cell(c: str) -> str:
             if c not in at:

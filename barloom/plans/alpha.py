@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barloom.functions.clock import at_slot
 from barloom.functions.dates import to_date
 from barloom.functions.values import is_valid
-from barloom.operators.calendar import calendar_between, is_trading_day
+from barloom.operators.calendar import is_trading_day
 from barloom.operators.resample import KEYS
 from barloom.plans.panel import online_features
 from barloom.plans.products import product
@@ -57,8 +57,7 @@ def alpha_history(
         dataset.sparkSession, dataset, [*KEYS, *x], universe=universe, date_range=(begin, end), date_col="date"
     )
     mine = models.where(F.col("prod") == prod)
-    days = calendar_between(calendar, begin, end).select("date")
-    return alpha_rows(score_linear(rows, mine, x, p.y_columns, n_latest, dates=days), prod, calendar)
+    return alpha_rows(score_linear(rows, mine, x, p.y_columns, n_latest, date_range=(begin, end)), prod, calendar)
 
 
 def alpha_online(
@@ -82,8 +81,7 @@ def alpha_online(
         in_dates(bars_1m, day, day), bars, (p.x_begin, p.x_end), members, one_day=True
     )
     mine = models.where(F.col("prod") == prod)
-    days = calendar_between(calendar, day, day).select("date")
-    return alpha_rows(score_linear(features, mine, x, p.y_columns, n_latest, dates=days), prod, calendar)
+    return alpha_rows(score_linear(features, mine, x, p.y_columns, n_latest, date_range=(day, day)), prod, calendar)
 
 
 def alpha_validity(alpha: DataFrame, by: Sequence[str] = ("date",)) -> DataFrame:

@@ -11,9 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.functions.dates import to_date
 from barloom.functions.values import nan_to_null
 from barloom.operators.asof import latest_versions
 from barloom.operators.resample import KEYS
+from barloom.operators.scaling import CrossSectionalZScore
 from barloom.plans.training import INTERCEPT
 
 
@@ -103,6 +105,7 @@ def score_linear(
     n_latest: int | Sequence[int] = 1,
     index: Sequence[str] = KEYS,
     dates: DataFrame | None = None,
+    date_range: tuple | None = None,
 ) -> DataFrame:
     """Mean prediction of each row's latest n models, one column per label.
 
@@ -112,21 +115,33 @@ def score_linear(
     keep their multiplicity. Dates before the first model have no row.
 
     Models are sent to the tasks and applied as matrix products, batch by
-    batch: rows are neither shuffled nor repeated. With ``dates``, only models
-    that these can use are fetched. Long histories of models are cut into
-    spans of at most ``SENT_BYTES``; each span is scored over its own dates.
+    batch: rows are neither shuffled nor repeated. Long histories of models are
+    cut into spans of at most ``SENT_BYTES``; each span is scored over its own
+    dates. With ``date_range`` (first, last) or ``dates``, whose first and last
+    then count, only models of use to these are fetched; a row dated outside
+    fails the job, since its models may be missing. A row without a date has no
+    models and no result.
+
+    Models may carry a ``normaliser``: one that says ``cs_zscore`` takes its
+    features standardised within the row's date, over the rows of ``df``.
     """
     ns = [n_latest] if isinstance(n_latest, int) else list(n_latest)
     wanted = usable_parameters(models.where(F.col("y").isin(list(y_columns))))
     milestones = sorted(r[0] for r in wanted.select("milestone").distinct().collect())  # some of the calendar's days
     first, last = 0, len(milestones)
-    if dates is not None:
-        span = dates.agg(F.min("date"), F.max("date")).first()
+    span = None
+    if date_range is not None:
+        span = to_date(date_range[0]), to_date(date_range[1])
+    elif dates is not None:
+        span = tuple(dates.agg(F.min("date"), F.max("date")).first())
+    if span is not None:
         if span[0] is None:
-            last = 0
+            span, last = (dt.date.max, dt.date.min), 0
         else:
             first = max(0, bisect_right(milestones, span[0]) - 1)
             last = bisect_right(milestones, span[1])
+    if "normaliser" in wanted.columns and wanted.where(F.col("normaliser") == "cs_zscore").limit(1).count():
+        df = CrossSectionalZScore(x_columns).with_statistics(df)
     at_once = max(1, SENT_BYTES // (16 * max(1, len(x_columns) * len(y_columns))) - max(ns))
     out = None
     for start in range(first, max(last, first + 1), at_once):
@@ -137,7 +152,7 @@ def score_linear(
         if start + at_once < last:
             rows = rows.where(F.col("date") < F.lit(milestones[start + at_once]))
         used = wanted.where(F.col("milestone").between(own[0], own[-1])) if own else wanted.limit(0)
-        part = _score_span(rows, used, x_columns, y_columns, n_latest, index)
+        part = _score_span(rows, used, x_columns, y_columns, n_latest, index, span)
         out = part if out is None else out.unionAll(part)
     return out
 
@@ -149,22 +164,29 @@ SLICE_BYTES = 16 * 1024 * 1024
 
 
 def _dense_models(models: DataFrame, x_columns: Sequence[str], y_columns: Sequence[str]) -> tuple[np.ndarray, list]:
-    """Sorted milestones (days since 1970) and for each (slope, offset, bias, known), shaped by feature and label."""
+    """Sorted milestones (days since 1970) and for each (slope, offset, bias, known, dated), shaped by feature and label.
+
+    ``dated`` says for each label that the model takes features standardised within their date.
+    """
     at = {c: i for i, c in enumerate(x_columns)}
     label = {y: j for j, y in enumerate(y_columns)}
     parts: dict = {}
     # The caller has bounded the number of milestones.
-    for m in models.select("milestone", "y", "feature", "weight", "mean", "std").collect():
+    kind = "normaliser" if "normaliser" in models.columns else "CAST(NULL AS STRING) AS normaliser"
+    for m in models.selectExpr("milestone", "y", "feature", "weight", "mean", "std", kind).collect():
         shape, n = (len(at), len(label)), len(label)
         if m["milestone"] not in parts:
-            parts[m["milestone"]] = np.zeros(shape), np.zeros(shape), np.zeros(n), np.zeros(n, bool)
-        slope, offset, bias, known = parts[m["milestone"]]
+            parts[m["milestone"]] = np.zeros(shape), np.zeros(shape), np.zeros(n), np.zeros(n, bool), np.zeros(n, bool)
+        slope, offset, bias, known, dated = parts[m["milestone"]]
         j, weight = label[m["y"]], m["weight"] or 0.0
         known[j] = True
+        dated[j] |= m["normaliser"] == "cs_zscore"
         if m["feature"] == INTERCEPT:
             bias[j] += weight
         elif m["feature"] not in at:
             raise ValueError(f"model feature is not among the inputs: {m['feature']}")
+        elif m["normaliser"] == "cs_zscore":
+            slope[at[m["feature"]], j] += weight
         elif m["std"] and m["mean"] is not None:
             i = at[m["feature"]]
             slope[i, j] += weight / m["std"]
@@ -182,13 +204,16 @@ def _mean_of(predictions: list[np.ndarray]) -> np.ndarray:
     return np.where(count > 0, np.where(there, stacked, 0.0).sum(axis=0) / np.maximum(count, 1), np.nan)
 
 
-def _score_span(df, models, x_columns, y_columns, n_latest, index) -> DataFrame:
+def _score_span(df, models, x_columns, y_columns, n_latest, index, span=None) -> DataFrame:
     ns = [n_latest] if isinstance(n_latest, int) else list(n_latest)
     several, index, y_columns, k = not isinstance(n_latest, int), list(index), list(y_columns), len(x_columns)
     shared = df.sparkSession.sparkContext.broadcast(_dense_models(models, x_columns, y_columns))
     x = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in x_columns)
-    rows = df.selectExpr(*index, f"array({x}) AS __x")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__x"]
+    stats = ["__m", "__s"] if "__m" in df.columns else []
+    blank = "transform(array_repeat(0, {}), v -> CAST(NULL AS DOUBLE))".format(k)
+    rows = df.selectExpr(*index, f"array({x}) AS __x", *[f"coalesce({c}, {blank}) AS {c}" for c in stats])
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("__x", *stats)]
+    bounds = None if span is None else [(d - dt.date(1970, 1, 1)).days for d in span]
     fields += (["n_latest int"] if several else []) + [f"`{y}` double" for y in y_columns]
     step = max(1, SLICE_BYTES // (8 * max(1, k)))
 
@@ -203,23 +228,33 @@ def _score_span(df, models, x_columns, y_columns, n_latest, index) -> DataFrame:
         dated = np.flatnonzero(days.is_valid().to_numpy(zero_copy_only=False))
         upto = np.zeros(batch.num_rows, "int64")
         known_days = days.drop_null().cast(pa.int32()).to_numpy(zero_copy_only=False)
+        if bounds and len(known_days) and (known_days.min() < bounds[0] or known_days.max() > bounds[1]):
+            raise ValueError("rows are dated outside of the dates given for scoring")
         upto[dated] = np.searchsorted(milestones, known_days, side="right")
         keep = np.flatnonzero(upto > 0)
         if not len(keep):
             return
-        data = batch.column(len(index)).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)[keep]
+        data, *of_date = (
+            batch.column(len(index) + i).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)[keep] for i in range(1 + len(stats))
+        )
         upto, present = upto[keep], ~np.isnan(data)
         filled, mask = np.where(present, data, 0.0), present.astype("float64")
+        if of_date:  # a feature without a deviation within its date is at its mean, 0
+            with np.errstate(divide="ignore", invalid="ignore"):
+                within = (data - of_date[0]) / of_date[1]
+            within[~np.isfinite(within)] = 0.0
         means = np.full((len(ns), len(keep), len(y_columns)), np.nan)
         for last in np.unique(upto):
             at = np.flatnonzero((upto == last) & present.any(axis=1))
-            preds = [
-                np.where(known, filled[at] @ slope - mask[at] @ offset + bias, np.nan)
-                for slope, offset, bias, known in parts[max(0, last - max(ns)) : last]
-            ]
+            preds = []
+            for slope, offset, bias, known, own_date in parts[max(0, last - max(ns)) : last]:
+                each = filled[at] @ slope - mask[at] @ offset
+                if own_date.any():
+                    each[:, own_date] = within[at] @ slope[:, own_date]
+                preds.append(np.where(known, each + bias, np.nan))
             for i, n in enumerate(ns):
                 means[i, at] = _mean_of(preds[-n:])
-        kept = [c.take(pa.array(keep)) for c in batch.columns[:-1]]
+        kept = [c.take(pa.array(keep)) for c in batch.columns[: len(index)]]
         for i, n in enumerate(ns):
             out = kept + ([pa.array(np.full(len(keep), n, dtype="int32"))] if several else [])
             out += [pa.array(means[i, :, j], from_pandas=True) for j in range(len(y_columns))]

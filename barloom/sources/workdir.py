@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -26,3 +26,10 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     """Delete a work folder that nothing reads any more, wherever Spark keeps it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written to a work folder and read again: what is lost with an executor is read, not computed."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from barloom.functions import clock, dates, durations, values
 from barloom.functions.slots import TEN_MINUTE_SLOTS, shift_slot, trading_slots
 from barloom.operators import asof, calendar as cal, datesets, matrices, resample, returns, scaling, splits
-from barloom.plans import alpha, dataset, panel, return_tables, scoring, training
+from barloom.plans import alpha, dataset, panel, return_tables, scoring, training, walk_forward
 from barloom.plans.features import feature_bars, wide_columns
 from barloom.sources import incremental, readers, sinks
 from barloom.sources.workdir import work_folder
@@ -703,6 +703,88 @@ def trained_model_nan(spark, sf_dir):
     return fixed(training.train_linear(train, ["volume", "total_trades"], ["range"], "1000", "2024-01-17"), 4)
 
 
+# Three milestones of windows of five training and two evaluation dates, a date apart from the milestone.
+WALK = {"n_train": 5, "n_eval": 2, "n_lag": 1}
+WALK_AT, WALK_REGS = (6, 8, 10), (0.0, 0.1, 1.0)
+WALK_ROWS = """WITH raw AS (SELECT b.date, c.idx, volume AS a, CASE WHEN total_trades % 5 = 0 THEN NULL ELSE CAST(total_trades AS DOUBLE) END AS b,
+  unnest([{'y': 'range', 'v': high - low}, {'y': 'move', 'v': CASE WHEN total_trades % 3 = 0 THEN NULL ELSE close - open END}], recursive := true)
+  FROM bar_1m b JOIN calendar c USING (date)),
+miles AS (SELECT date AS milestone, idx + 1 AS i FROM calendar WHERE idx IN (6, 8, 10)),
+windows AS (SELECT milestone, raw.*, CASE WHEN idx >= i - 3 THEN 'eval' ELSE 'train' END AS split
+  FROM miles JOIN raw ON idx >= greatest(i - 8, 0) AND idx < i - 1 WHERE i >= 3)"""
+WALK_Z = """,
+s AS (SELECT milestone, avg(a) AS ma, stddev_samp(a) AS sa, avg(b) AS mb, stddev_samp(b) AS sb FROM windows WHERE split = 'train' AND y = 'range'
+  GROUP BY milestone),
+z AS (SELECT milestone, split, y, v, coalesce((a - ma) / sa, 0) AS a, coalesce((b - mb) / sb, 0) AS b
+  FROM windows JOIN s USING (milestone) WHERE v IS NOT NULL)"""
+WALK_DATED = """,
+s AS (SELECT milestone, NULL::DOUBLE AS ma, NULL::DOUBLE AS sa, NULL::DOUBLE AS mb, NULL::DOUBLE AS sb FROM miles),
+d AS (SELECT date, avg(a) AS ma, stddev_samp(a) AS sa, avg(b) AS mb, stddev_samp(b) AS sb FROM raw WHERE y = 'range' GROUP BY date),
+z AS (SELECT milestone, split, y, v, coalesce((a - ma) / sa, 0) AS a, coalesce((b - mb) / sb, 0) AS b
+  FROM windows JOIN d USING (date) WHERE v IS NOT NULL)"""
+WALK_FIT = """,
+m AS (SELECT milestone, y, covar_pop(a, v) AS ay, covar_pop(b, v) AS "by", covar_pop(a, b) AS ab, var_pop(a) AS aa, var_pop(b) AS bb, avg(v) AS my,
+  avg(a) AS ma, avg(b) AS mb FROM z WHERE split = 'train' GROUP BY milestone, y),
+p AS (SELECT *, (ay * (bb + reg) - "by" * ab) / ((aa + reg) * (bb + reg) - ab * ab) AS wa,
+  ("by" * (aa + reg) - ay * ab) / ((aa + reg) * (bb + reg) - ab * ab) AS wb FROM m, (VALUES (0.0::DOUBLE), (0.1::DOUBLE), (1.0::DOUBLE)) AS r(reg)),
+w AS (SELECT milestone, y, reg, wa, wb, my - wa * ma - wb * mb AS w0 FROM p),
+e AS (SELECT milestone, y, reg, count(*) AS n_eval, avg((v - w0 - wa * a - wb * b) ** 2) AS mse FROM w JOIN z USING (milestone, y)
+  WHERE split = 'eval' GROUP BY milestone, y, reg),
+best AS (SELECT *, row_number() OVER (PARTITION BY milestone, y ORDER BY mse, reg) = 1 AS chosen FROM e)"""
+WALK_MODELS = f""" SELECT '1000' AS prod, milestone, y, feature, {r('weight', 'weight', 4)}, {r('mean', 'mean', 4)}, {r('std', 'std', 4)}, NORMALISER AS normaliser FROM (
+  SELECT milestone, y, '(intercept)' AS feature, w0 AS weight, NULL::DOUBLE AS mean, NULL::DOUBLE AS std FROM w JOIN best USING (milestone, y, reg) WHERE chosen
+  UNION ALL SELECT milestone, y, 'volume', wa, ma, sa FROM w JOIN best USING (milestone, y, reg) JOIN s USING (milestone) WHERE chosen
+  UNION ALL SELECT milestone, y, 'total_trades', wb, mb, sb FROM w JOIN best USING (milestone, y, reg) JOIN s USING (milestone) WHERE chosen)"""
+
+
+def _walk(spark, sf_dir, normaliser="zscore"):
+    gap = F.when(F.col("total_trades") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("total_trades"))
+    move = F.when(F.col("total_trades") % 3 != 0, F.col("close") - F.col("open"))
+    bars = fx.bar_1m(spark, sf_dir).withColumns({"range": F.col("high") - F.col("low"), "move": move, "total_trades": gap})
+    days = fx.calendar(spark, sf_dir)
+    at = [x["date"] for x in days.where(F.col("idx").isin(list(WALK_AT))).collect()]
+    return walk_forward.train_walk_forward(
+        bars, days, at, ["volume", "total_trades"], ["range", "move"], "1000", regs=WALK_REGS, normaliser=normaliser, **WALK
+    )
+
+
+@query(WALK_ROWS + WALK_Z + WALK_FIT + WALK_MODELS.replace("NORMALISER", "'zscore'"))
+def walk_forward_models(spark, sf_dir):
+    """Models of three milestones and two labels from sums of the dates' products, the data read once."""
+    return fixed(_walk(spark, sf_dir)[0], 4)
+
+
+@query(WALK_ROWS + WALK_Z + WALK_FIT + f" SELECT '1000' AS prod, milestone, y, reg, n_eval, {r('mse', 'mse', 3)}, chosen FROM best")
+def ridge_choice(spark, sf_dir):
+    """Errors of each strength of the ridge path on the evaluation dates, and the one kept."""
+    return fixed(_walk(spark, sf_dir)[1], 3)
+
+
+@query(WALK_ROWS + WALK_DATED + WALK_FIT + WALK_MODELS.replace("NORMALISER", "'cs_zscore'"))
+def trained_model_cs(spark, sf_dir):
+    """The same with features standardised within each date."""
+    return fixed(_walk(spark, sf_dir, "cs_zscore")[0], 4)
+
+
+CS_MODELS = [("cs_zscore", "volume", 0.5), ("cs_zscore", "total_trades", -0.25), ("cs_zscore", "(intercept)", 0.125)]
+
+
+@query(f"""WITH raw AS (SELECT date, symbol, time, volume AS a, CAST(total_trades AS DOUBLE) AS b FROM bar_1m),
+d AS (SELECT date, avg(a) AS ma, stddev_samp(a) AS sa, avg(b) AS mb, stddev_samp(b) AS sb FROM raw GROUP BY date),
+p AS (SELECT raw.*, 0.125 + 0.5 * coalesce((a - ma) / sa, 0) - 0.25 * coalesce((b - mb) / sb, 0) AS within,
+  1.0 + 0.01 * (a - 10) AS plain FROM raw JOIN d USING (date))
+SELECT date, symbol, time, {r("CASE WHEN date >= DATE '2024-01-16' THEN (within + plain) / 2 ELSE within END", 'signal')}
+FROM p WHERE date >= DATE '2024-01-10'""")
+def linear_score_cs(spark, sf_dir):
+    """A model that normalises within the date, averaged later with one of fixed means and deviations."""
+    early, late = dt.date(2024, 1, 10), dt.date(2024, 1, 16)
+    rows = [("1000", early, "signal", f, w, None, None, n) for n, f, w in CS_MODELS]
+    rows += [("1000", late, "signal", "volume", 0.1, 10.0, 10.0, "zscore"), ("1000", late, "signal", "(intercept)", 1.0, None, None, "zscore")]
+    models = spark.createDataFrame(rows, f"{training.MODEL_SCHEMA}, normaliser string")
+    bars = fx.bar_1m(spark, sf_dir)
+    return fixed(scoring.score_linear(bars, models, ["volume", "total_trades"], ["signal"], 2, index=("date", "symbol", "time")))
+
+
 # --- Alpha ------------------------------------------------------------------------------------------------------
 
 
