@@ -183,24 +183,29 @@ def widen(
 
 
 def widen_blocks(
-    stats: BlockStats, slots: Sequence[str] = TEN_MINUTE_SLOTS, as_float: bool = False, placed: bool = False
+    stats: BlockStats,
+    slots: Sequence[str] = TEN_MINUTE_SLOTS,
+    as_float: bool = False,
+    placed: bool = False,
+    index: Sequence[str] = KEYS,
 ) -> DataFrame:
     """Block statistics -> wide rows ``{bar}_{op}_{slot}``, without making long rows in between.
 
     Values are narrowed to 32 bits before they are moved when ``as_float``.
-    ``placed`` says that the rows already lie by (date, symbol).
+    ``placed`` says that the rows already lie by (date, symbol) or, with further
+    columns in ``index`` that follow from these, by some columns of it.
     """
     n = len(stats.blocks)
     kind = "float" if as_float else "double"
     rows = stats.rows.where(F.col("count") > 0).select(
-        *KEYS, (F.col("window") * n + F.col("block")).alias("cell"), *[F.col(v).cast(kind).alias(v) for v in stats.values]
+        *index, (F.col("window") * n + F.col("block")).alias("cell"), *[F.col(v).cast(kind).alias(v) for v in stats.values]
     )
     if not placed:
         rows = rows.repartition(*[F.col(k) for k in KEYS])
     first = {s: (minute_of(s) // 10 - 1) * n for s in slots}
-    wide = _side_by_side(rows, "cell", [first[s] + b for s in slots for b in range(n)], stats.values, KEYS)
+    wide = _side_by_side(rows, "cell", [first[s] + b for s in slots for b in range(n)], stats.values, index)
     return wide.selectExpr(
-        *KEYS,
+        *index,
         *[
             f"`{first[s] + b}_v{i}_{op}` AS `{bar}_{op}_{s}`"
             for b, block in enumerate(stats.blocks)

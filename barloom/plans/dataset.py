@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from barloom.functions.slots import TEN_MINUTE_SLOTS
 from barloom.functions.values import numeric_to_float
 from barloom.operators.calendar import trading_dates
 from barloom.operators.datesets import pending_dates, ready_dates
-from barloom.operators.resample import KEYS
+from barloom.operators.resample import KEYS, MEAN_STD, resample_blocks, widen_blocks
 from barloom.plans.features import wide_columns
 from barloom.plans.panel import downsample_wide
 from barloom.sources.readers import open_table
@@ -31,6 +33,76 @@ def join_dataset(universe: DataFrame, features: DataFrame, returns: DataFrame, l
     return narrow.join(features, keys, "left").selectExpr(*keys, *[f"`{c}`" for c in rest])
 
 
+#: Bytes of dataset rows that are to lie in one place.
+PLACE_BYTES = 64 * 1024 * 1024
+#: Settings of the session while the dataset is written.
+WIDE_SETTINGS = {
+    # Two sides that lie by some of the join columns, in as many partitions, are joined where they are.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # What follows from thousands of renamed columns takes the planner half a minute to work out, and helps nothing.
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Other settings while something runs; those of before come back."""
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+class Places:
+    """Where dataset rows are put together: by date and a bucket of symbols, as many buckets as the date's rows need.
+
+    Ten-minute blocks and the narrow tables go there, small as they are; pivot, join and write then stay, so the wide
+    rows are never shuffled, and a date that holds a third of the rows has as many places as its rows are many.
+    """
+
+    def __init__(self, universe: DataFrame, row_bytes: int, place_bytes: int = PLACE_BYTES):
+        counts = universe.where("date IS NOT NULL").groupBy("date").count().collect()  # one row per trading day
+        buckets = [(r["date"], -(-r["count"] * row_bytes // place_bytes)) for r in counts]
+        self.number = max(1, sum(n for _, n in buckets))
+        self.buckets = universe.sparkSession.createDataFrame(buckets, "date date, __buckets bigint")
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """Rows of dates that the universe has, in their places, with the column ``__bucket``."""
+        dealt = df.join(F.broadcast(self.buckets), "date")
+        dealt = dealt.withColumn("__bucket", F.pmod(F.xxhash64("symbol"), "__buckets")).drop("__buckets")
+        return dealt.repartition(self.number, "date", "__bucket")
+
+
+def placed_rows(
+    bars_1m: DataFrame,
+    universe: DataFrame,
+    returns: DataFrame,
+    lag_returns: DataFrame,
+    bars: Sequence[str],
+    days: Sequence[dt.date],
+    slots: Sequence[str] = TEN_MINUTE_SLOTS,
+    place_bytes: int = PLACE_BYTES,
+) -> DataFrame:
+    """The rows of :func:`dataset_rows`, in places to be written from, under ``WIDE_SETTINGS``."""
+    bars_1m, universe, returns, lag_returns = (only_dates(t, days) for t in (bars_1m, universe, returns, lag_returns))
+    columns, keys = wide_columns(bars, slots), list(KEYS)
+    narrow = universe.join(returns, keys, "left").join(lag_returns, keys, "left")
+    places = Places(universe, 4 * (len(columns) + len(narrow.columns)), place_bytes)
+    stats = resample_blocks(bars_1m, bars, MEAN_STD)
+    put = replace(stats, rows=places.put(stats.rows))
+    index = (*KEYS, "__bucket")
+    wide = widen_blocks(put, slots, as_float=True, placed=True, index=index).selectExpr(*index, *[f"`{c}`" for c in columns])
+    # where AQE sees one side as small it would send it everywhere; both already lie where they meet
+    joined = numeric_to_float(places.put(narrow).join(wide.hint("merge"), list(index), "left"))
+    first = [c for c in universe.columns if c not in keys]
+    rest = [c for t in (returns, lag_returns) for c in t.columns if c not in keys]
+    return joined.selectExpr(*keys, *[f"`{c}`" for c in (*first, *columns, *rest)])
+
+
 def only_dates(df: DataFrame, days: Sequence[dt.date]) -> DataFrame:
     """Rows of the given dates; as literals they prune the folders of a partitioned table up front."""
     return df.where(F.col("date").isin(list(days)))
@@ -71,7 +143,8 @@ def build_dataset(
 
     ``sources`` holds ``bar_1m``, ``univ``, ``return`` and ``lag_return`` as
     paths or frames. Tables given by path tell their dates from their folders,
-    so no data is read to find the ready ones.
+    so no data is read to find the ready ones. Rows are written from where they
+    are put together: see :class:`Places`.
     """
     names = ("bar_1m", "univ", "return", "lag_return")
     tables = [open_table(spark, sources[n]) for n in names]
@@ -81,7 +154,8 @@ def build_dataset(
         dates = pending_dates(dates, loaded_dates(spark, path))
     days = date_list(dates)
     if days:
-        write_by_date(dataset_rows(*tables, bars, days, slots), path)
+        with session_settings(spark, WIDE_SETTINGS):
+            write_by_date(placed_rows(*tables, bars, days, slots), path, placed=True)
     return days
 
 
@@ -91,5 +165,6 @@ def downsample_pending(
     """Downsample the dates of a minute-bar table that the ten-minute table lacks; returns them."""
     days = date_list(pending_dates(loaded_dates(spark, source), loaded_dates(spark, target)))
     if days:
-        write_by_date(downsample_wide(only_dates(open_table(spark, source), days), bars, slots), target)
+        with session_settings(spark, WIDE_SETTINGS):
+            write_by_date(downsample_wide(only_dates(open_table(spark, source), days), bars, slots), target)
     return days

@@ -197,9 +197,9 @@ def train_walk_forward(
     days = spark.createDataFrame([(to_date(m),) for m in milestones], "milestone date").distinct()
     spans = split_dates(days, calendar, n_train, n_eval, n_lag).groupBy("milestone", "split").agg(F.min("date"), F.max("date"))
     windows = sorted(tuple(r) for r in spans.collect())  # two rows a milestone
-    first, last = (min(w[2] for w in windows), max(w[3] for w in windows)) if windows else (dt.date.max, dt.date.min)
     rows = dataset.where(F.col(f"`{universe}`")) if universe else dataset
-    rows = rows.where(F.col("date").between(F.lit(first), F.lit(last))).select("date", *[F.col(f"`{c}`") for c in (*x_columns, *y_columns)])
+    used = F.col("date").between(F.lit(min(w[2] for w in windows)), F.lit(max(w[3] for w in windows))) if windows else F.lit(False)
+    rows = rows.where(used).select("date", *[F.col(f"`{c}`") for c in (*x_columns, *y_columns)])
     if dated:
         scaled = CrossSectionalZScore(x_columns).transform(rows)
         filled = [f"IF(abs(`{c}`) < DOUBLE('Infinity'), `{c}`, 0.0D) AS `{c}`" for c in x_columns]

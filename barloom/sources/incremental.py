@@ -14,9 +14,6 @@ from barloom.operators.returns import adjusted_bars
 from barloom.sources.readers import in_dates
 from barloom.sources.sinks import loaded_dates, write_by_date
 
-# Forward returns mature late: the last loaded dates of these tables are loaded again.
-RELOAD_LAST = {"return": 6, "lag_return": 6}
-
 
 def load_item(
     spark: SparkSession,
@@ -33,7 +30,9 @@ def load_item(
     """Load the missing trading dates of [begin, end]; returns them in order.
 
     ``source(first, last)`` gives the rows of an inclusive date range. Only the
-    pending dates are written; dates loaded before stay as they are. All dates
+    pending dates are written; dates loaded before stay as they are, but for the
+    last ``reload_last`` (returns, which mature late, have a ledger of their own:
+    :func:`barloom.plans.return_items.load_returns`). All dates
     go in one job unless ``days_per_job`` is given: a long history of bars is
     then loaded in spans of dates, so that the daily side of a join stays small
     enough to broadcast and a broken load resumes at its last span.

@@ -8,17 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_by_date(df: DataFrame, path: str, partitions: Sequence[str] = ("date",), sort: Sequence[str] = ("symbol",)) -> None:
+def write_by_date(
+    df: DataFrame, path: str, partitions: Sequence[str] = ("date",), sort: Sequence[str] = ("symbol",), placed: bool = False
+) -> None:
     """Write one folder per date, replacing only the dates that occur in ``df``.
 
     Rows are rebalanced by the partition columns: adaptive execution splits a
     date that is too large over several tasks and merges small ones, so one hot
     date does not become one task. Files are sorted by symbol for tight row
-    group statistics.
+    group statistics. ``placed`` says that the rows lie where they are to be
+    written from: they are not moved again.
     """
     within = [c for c in (*partitions, *sort) if c in df.columns]
     (
-        df.hint("rebalance", *partitions)
+        (df if placed else df.hint("rebalance", *partitions))
         .sortWithinPartitions(*within)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

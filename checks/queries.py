@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from barloom.functions import clock, dates, durations, values
 from barloom.functions.slots import TEN_MINUTE_SLOTS, shift_slot, trading_slots
 from barloom.operators import asof, calendar as cal, datesets, matrices, resample, returns, scaling, splits
-from barloom.plans import alpha, dataset, panel, return_tables, scoring, training, walk_forward
+from barloom.plans import alpha, dataset, panel, return_items, return_tables, scoring, training, walk_forward
 from barloom.plans.features import feature_bars, wide_columns
 from barloom.sources import incremental, readers, sinks
 from barloom.sources.workdir import work_folder
@@ -516,6 +516,55 @@ def incremental_load(spark, sf_dir):
     return spark.read.parquet(path).select("date", "symbol", "euniv_largemid")
 
 
+LOADS = (dt.date(2024, 1, 12), dt.date(2024, 1, 17), dt.date(2024, 1, 23))
+
+
+def _loaded_returns(spark, sf_dir, lag):
+    """Three loads as more and more bars are known, in spans of four dates."""
+    path, days = work_folder(spark, "return"), fx.calendar(spark, sf_dir)
+    bars, factors = fx.bar_1m(spark, sf_dir).select("date", "symbol", "time", "close", "volume", "amount"), fx.adj_factor(spark, sf_dir)
+    for known in LOADS:
+        return_items.load_returns(spark, bars, factors, path, days, dt.date(2024, 1, 9), known, lag=lag, days_per_job=4)
+    return fixed(spark.read.parquet(path))
+
+
+@query(RETURN_SQL + " WHERE a.date >= DATE '2024-01-09'")
+def incremental_returns(spark, sf_dir):
+    """Returns loaded in several spans, immature dates again, are those of the table built at once."""
+    return _loaded_returns(spark, sf_dir, False)
+
+
+@query(FORWARD_SQL.rstrip() + f", ret AS (SELECT a.date, a.symbol, {FORWARD_COLS}, {INTRA_COLS} {FORWARD_FROM})\n"
+       f"SELECT c.prev AS date, r.symbol, {LAG_COLS} FROM ret r JOIN calendar c USING (date) WHERE c.prev >= DATE '2024-01-09'")
+def incremental_lag_returns(spark, sf_dir):
+    return _loaded_returns(spark, sf_dir, True)
+
+
+V2_MADE = [f"{V2_SOURCES[i % 6]} * {1 + i % 16} / 1000.0D + {i}.0000123D AS `{b}`" for i, b in enumerate(V2_BARS)]
+V2_STATS = [f"{b}_{op}" for b in V2_BARS for op in ("mean", "std")]
+
+
+@query(f"WITH full_bars AS (SELECT date, symbol, slot, time, {V2_SELECT} FROM slotted),\n"
+       "stats AS (SELECT date, symbol, slot, " + ", ".join(f'avg("{b}") AS "{b}_mean", stddev_samp("{b}") AS "{b}_std"' for b in V2_BARS)
+       + " FROM full_bars GROUP BY date, symbol, slot),\n"
+       "days AS (SELECT date FROM (SELECT date, row_number() OVER (ORDER BY date DESC) AS r FROM calendar WHERE next IS NOT NULL) WHERE r > 6)\n"
+       "SELECT u.date, u.symbol, s.slot, " + ", ".join(r(f'CAST("{c}" AS REAL)', c, 1) for c in V2_STATS)
+       + f" FROM univ u JOIN days USING (date) CROSS JOIN (SELECT unnest({list(TEN_MINUTE_SLOTS)!r}) AS slot) s "
+       "LEFT JOIN stats t ON t.date = u.date AND t.symbol = u.symbol AND t.slot = s.slot")
+def dataset_v2(spark, sf_dir):
+    """The full-width dataset, 139 bars at 24 slots, built from written items and compared in long form."""
+    folder, days = work_folder(spark, "dataset"), fx.calendar(spark, sf_dir)
+    paths = {name: f"{folder}/{name}" for name in ("bar_1m", "univ", "return", "lag_return")}
+    plain = fx.bar_1m(spark, sf_dir).select("date", "symbol", "time", *V2_SOURCES)
+    sinks.write_by_date(plain.selectExpr("date", "symbol", "time", *V2_MADE), paths["bar_1m"], sort=("symbol", "time"))
+    sinks.write_by_date(fx.univ(spark, sf_dir), paths["univ"])
+    rets = return_tables.return_table(plain, days, fx.adj_factor(spark, sf_dir))
+    sinks.write_by_date(rets, paths["return"])
+    sinks.write_by_date(return_tables.lag_return_table(spark.read.parquet(paths["return"]), days), paths["lag_return"])
+    dataset.build_dataset(spark, paths, f"{folder}/set", V2_BARS)
+    return fixed(resample.unwiden(spark.read.parquet(f"{folder}/set"), V2_STATS), 1)
+
+
 # --- Splits, scaling, models ------------------------------------------------------------------------------------
 
 
