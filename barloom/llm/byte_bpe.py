@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded_batches, slices
+from barloom.llm.common import bounded_batches, refuse_names, slices
 
 #: Words, and matches of the pattern in them, whose tokens a Python worker remembers: so many, and as many used before
 #: those. About 200 bytes each, and a worker that waits for its next task keeps them.
@@ -162,8 +162,10 @@ class ByteBPE:
     def encode(self, docs: DataFrame, text: str = "text", into: str = "ids", offsets: bool = False) -> DataFrame:
         """``docs`` with the ids in a column ``into`` (array of int), or with ``offsets`` a struct of ids, starts, ends.
 
-        Offsets count characters. Every row stays; a null or empty text has no tokens.
+        Offsets count characters. Every row stays; a null or empty text has no tokens. A column that is there already is
+        not replaced: its name is refused.
         """
+        refuse_names(docs, into)
         definition = self.definition
         kind = "struct<ids:array<int>, starts:array<int>, ends:array<int>>" if offsets else "array<int>"
 
@@ -178,13 +180,14 @@ class ByteBPE:
             starts, ends = _lists([s for s, _ in spans]), _lists([e for _, e in spans])
             return pa.StructArray.from_arrays([ids, starts, ends], ["ids", "starts", "ends"])
 
-        return bounded_batches(docs).withColumn(into, encoded(F.col(text)))
+        return bounded_batches(docs).withColumn(into, encoded(F.col(f"`{text}`")))
 
     def round_trip(self, docs: DataFrame, text: str = "text", into: str = "tokens") -> DataFrame:
         """``docs`` with a struct ``into`` of the ids and the bytes they decode to, as :meth:`encode` and :meth:`decode`.
 
         Both in one Python worker: two steps would run, and hold the vocabulary, in two workers for each core.
         """
+        refuse_names(docs, into)
         definition = self.definition
 
         @F.arrow_udf("struct<ids:array<int>, decoded:binary>")
@@ -194,7 +197,7 @@ class ByteBPE:
             decoded = pa.array([own.to_bytes(x).tobytes() for x in parts], pa.binary())
             return pa.StructArray.from_arrays([_lists(parts), decoded], ["ids", "decoded"])
 
-        return bounded_batches(docs).withColumn(into, there_and_back(F.col(text)))
+        return bounded_batches(docs).withColumn(into, there_and_back(F.col(f"`{text}`")))
 
     def decode(self, tokens: DataFrame, ids: str = "ids", into: str = "decoded", as_text: bool = False) -> DataFrame:
         """``tokens`` with the decoded bytes in a binary column ``into``, or with ``as_text`` their text.
@@ -202,6 +205,7 @@ class ByteBPE:
         Ids that end within a character give its bytes, and in a text a replacement character. Null ids decode to
         nothing; an id outside of the vocabulary fails the job.
         """
+        refuse_names(tokens, into)
         definition = self.definition
 
         @F.arrow_udf("string" if as_text else "binary")
@@ -214,7 +218,7 @@ class ByteBPE:
                 return pa.array([data.decode("utf-8", "replace") for data in out], pa.string())
             return pa.array(out, pa.binary())
 
-        return bounded_batches(tokens).withColumn(into, decoded(F.col(ids)))
+        return bounded_batches(tokens).withColumn(into, decoded(F.col(f"`{ids}`")))
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:

@@ -39,6 +39,12 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def refuse_names(df: DataFrame, *added: str) -> None:
+    """Raises if ``df`` already has a column of a name that is to be added: none is ever replaced."""
+    if clash := sorted(set(df.columns) & set(added)):
+        raise ValueError(f"columns of these names are added, rename those that are there: {clash}")
+
+
 def slices(array: pa.Array) -> Iterator[list[str]]:
     """The texts of an Arrow array, a few at a time; a null text is an empty one."""
     for start in range(0, len(array), SLICE_ROWS):

@@ -2,7 +2,8 @@
 
 Everything here is a DataFrame expression. Lines are counted under their digest, so long lines cost no more than short
 ones, and hot lines are counted before they are shuffled. A host can have (lines per page / ratio) boilerplate lines at
-most, so these are gathered per host; pages meet them by host and a salt, so a hot host is dealt to many tasks.
+most, so these are gathered per host and written; where that table is small it is broadcast by its size, otherwise
+pages meet it by host and a salt, so a hot host is dealt to many tasks.
 """
 
 from __future__ import annotations
@@ -10,15 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.common import written
+
 #: Parts into which every host is dealt.
 SALTS = 16
 
 
-def host_of(url: str | Column) -> Column:
-    """Lower-cased host of a URL; null where there is none."""
-    return F.lower(F.nullif(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
-
-
 def _digest(line: Column) -> Column:
     """Digest of a line's content, null for a blank line."""
     content = F.trim(line, F.lit(" \t\x0b\f\r"))
@@ -51,7 +49,8 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: flo
     ``removed`` names a column for the number of lines taken out, ``length`` one of ``pages`` that holds the characters
     of the text and is brought up to date. Blank lines are never counted or removed.
     """
-    found = boilerplate(pages, host, text, ratio, least_pages).select(
+    # written first, so that its size decides: where it is small it goes to the pages and no text is moved
+    found = written(boilerplate(pages, host, text, ratio, least_pages), "boilerplate").select(
         F.col("host").alias("__llm_host"), F.col("lines").alias("__llm_lines"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__llm_of"),
     )

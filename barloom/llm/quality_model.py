@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded_batches, slices
+from barloom.llm.common import bounded_batches, refuse_names, slices
 from barloom.llm.training import blocked, fit, sigmoid, with_labels
 
 
@@ -117,6 +117,7 @@ class QualityModel:
 
         ``metadata``: the same columns as in training; a null is no feature.
         """
+        refuse_names(docs, into)
         sent = docs.sparkSession.sparkContext.broadcast(self)  # of a size that the settings fix
 
         @F.arrow_udf("double")
@@ -127,7 +128,7 @@ class QualityModel:
                     out.append(sigmoid(raw_score(model.weights, *features(t, next(facts) or [], model.settings))[0]))
             return pa.array(out, pa.float64())
 
-        return bounded_batches(docs).withColumn(into, score(F.col(text), _metadata(docs, metadata or {})))
+        return bounded_batches(docs).withColumn(into, score(F.col(f"`{text}`"), _metadata(docs, metadata or {})))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",

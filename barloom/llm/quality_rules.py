@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import BLANK, bounded_batches, texts
+from barloom.llm.common import BLANK, bounded_batches, refuse_names, texts
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -108,6 +108,8 @@ def quality_measures(docs: DataFrame, text: str = "text", into: str = "quality_m
     true, as a text without words is for the word counts to judge.
     """
 
+    refuse_names(docs, into)
+
     @F.arrow_udf(MEASURES)
     def measured(column: pa.Array) -> pa.Array:
         compressor = zstandard.ZstdCompressor(level=settings.level)
@@ -116,7 +118,7 @@ def quality_measures(docs: DataFrame, text: str = "text", into: str = "quality_m
         columns = zip(*rows, strict=True) if rows else [[]] * len(FIELDS)
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], FIELDS)
 
-    return bounded_batches(docs).withColumn(into, measured(F.col(text)))
+    return bounded_batches(docs).withColumn(into, measured(F.col(f"`{text}`")))
 
 
 def with_verdict(docs: DataFrame, into: str = "quality_measures", least_words: int = 10,

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import ascii_lower, bounded_batches, texts, written
+from barloom.llm.common import ascii_lower, bounded_batches, refuse_names, texts, written
 from barloom.llm.components import components
 
 BITS = 64
@@ -52,14 +52,15 @@ def fingerprint(text: str, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", into: str = "simhash", width: int = 3) -> DataFrame:
-    """``docs`` with the fingerprint as a (signed) long column ``into``; null and wordless texts get zero."""
+    """``docs`` with the fingerprint as a (signed) long column ``into``, a new name; null and wordless texts get zero."""
+    refuse_names(docs, into)
 
     @F.arrow_udf("bigint")
     def hashed(column: pa.Array) -> pa.Array:
         values = np.fromiter((fingerprint(t, width) for t in texts(column)), np.uint64, len(column))
         return pa.array(values.view(np.int64))
 
-    return bounded_batches(docs).withColumn(into, hashed(F.col(text)))
+    return bounded_batches(docs).withColumn(into, hashed(F.col(f"`{text}`")))
 
 
 def as_hex(column: str) -> Column:
@@ -245,14 +246,17 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, budget: int = 3) -> DataFrame:
     """The document with the least id of each near-duplicate group, with the columns of ``docs``.
 
-    Of several rows with that id the least by all columns stays, also of a group without any id.
+    Of several rows with that id in that group the least by all columns stays, also of a group without any id; rows of
+    one id in other groups are chosen there, each group on its own. An id with a single row is looked up as it is; only
+    rows that share their id, or have none, are fingerprinted again to tell which of them is meant.
     """
-    stay = written(simhash_groups(docs, doc_id, text, width, budget).filter("doc_id <=> component_id"), "stay")
-    own = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")
-    named = stay.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("__llm_id")).distinct()
-    chosen = docs.join(named, F.col(f"`{doc_id}`") == F.col("__llm_id"), "left_semi")
-    one = chosen.groupBy(F.col(f"`{doc_id}`").alias("__llm_id")).agg(own).select("row.*")
-    alone = stay.filter("doc_id IS NULL").selectExpr("fingerprint AS __llm_fp", "group_fingerprint AS __llm_group").distinct()
-    nameless = fingerprints(docs.filter(F.col(f"`{doc_id}`").isNull()), text, "__llm_bits", width)
-    nameless = nameless.withColumn("__llm_fp", as_hex("__llm_bits")).join(alone, "__llm_fp")
-    return one.unionAll(nameless.groupBy("__llm_group").agg(own).select("row.*"))
+    groups = written(simhash_groups(docs, doc_id, text, width, budget), "groups")
+    chosen = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    of_id = groups.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__llm_id")).agg(F.count("*").alias("n"), F.bool_or(chosen).alias("stays"))
+    own_id, row = F.col(f"`{doc_id}`"), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    single = docs.join(of_id.filter("stays AND n = 1"), own_id == F.col("__llm_id"), "left_semi")
+    several = docs.join(of_id.filter("stays AND n > 1"), own_id == F.col("__llm_id"), "left_semi").unionAll(docs.filter(own_id.isNull()))
+    several = fingerprints(several.select(own_id.alias("__llm_id"), F.col(f"`{text}`").alias("__llm_text"), row.alias("row")), "__llm_text", "__llm_bits", width)
+    meant = groups.filter(chosen).selectExpr("doc_id AS __llm_of", "fingerprint AS __llm_fp", "group_fingerprint AS __llm_group").distinct()
+    met = several.join(meant, (as_hex("__llm_bits") == F.col("__llm_fp")) & F.col("__llm_id").eqNullSafe(F.col("__llm_of")))
+    return single.unionAll(met.groupBy("__llm_group").agg(F.min("row").alias("row")).select("row.*"))

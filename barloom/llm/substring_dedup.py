@@ -2,7 +2,7 @@
 
 A gear hash rolls over the bytes; where it is low a piece ends. Such cuts depend on the 16 bytes before them alone, so a
 passage is cut alike wherever it stands, and what is inserted before it changes no piece but the first. Pieces are
-counted under a 128-bit digest; runs of neighbouring pieces that an earlier document has too are repeated passages.
+counted under a 128-bit digest; runs of neighbouring pieces that stand somewhere before are repeated passages.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded_batches, texts
+from barloom.llm.common import bounded_batches, texts, written
 
 
 @dataclass(frozen=True)
@@ -96,16 +96,21 @@ def chunked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", setting
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       settings: Chunking = Chunking()) -> DataFrame:
-    """Rows (doc_id, start, stop, n_words, first_doc_id): passages that a document with a smaller id has too.
+    """Rows (doc_id, start, stop, n_words, first_doc_id, first_start): passages that stand somewhere before.
 
-    ``start`` and ``stop`` are characters; ``first_doc_id`` is the least id that holds the longest piece of the passage.
+    Occurrences are ordered by id, then by place, so a passage that a document repeats further down is found in it, and
+    one that a document with a smaller id has too. ``start`` and ``stop`` are characters; ``first_doc_id`` and
+    ``first_start`` tell where the longest piece of the passage stands first.
     Documents without such a passage, null and empty texts have no row; rows of one id are one document, so they do not
     repeat each other; rows without an id are not looked at. Other columns, whatever their names, do not matter.
-    Hot pieces are counted before they are shuffled, and met again in a join whose large partitions Spark splits.
+    Texts are cut up once, into a written table. Hot pieces are counted before they are shuffled, and met again in a
+    join whose large partitions Spark splits.
     """
-    each = chunked(docs, doc_id, text, settings)
-    shared = each.groupBy("high", "low").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).filter("first_doc_id < last").drop("last")
-    again = each.join(shared, ["high", "low"]).filter("first_doc_id < doc_id").select("doc_id", "start", "stop", "words", "first_doc_id")
+    each = written(chunked(docs, doc_id, text, settings), "pieces")
+    place = F.struct("doc_id", "start")
+    shared = each.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").drop("last")
+    again = each.join(shared, ["high", "low"]).filter(F.col("first") < place)
+    again = again.select("doc_id", "start", "stop", "words", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"))
     again = again.repartition("doc_id").distinct()  # one shuffle, for what follows too
     in_text = Window.partitionBy("doc_id").orderBy("start", "stop")
     begins = again.withColumn("begins", F.coalesce(F.col("start") > F.max("stop").over(in_text.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)))
@@ -114,15 +119,15 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         run.groupBy("doc_id", "run")
         .agg(
             F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("n_words"),
-            F.max_by("first_doc_id", F.col("stop") - F.col("start")).alias("first_doc_id"),
+            F.max_by(F.struct("first_doc_id", "first_start"), F.struct(F.col("stop") - F.col("start"), -F.col("start"))).alias("first"),
         )
         .filter(F.col("n_words") >= settings.words)
-        .drop("run")
+        .select("doc_id", "start", "stop", "n_words", "first.*")
     )
 
 
 def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Chunking = Chunking()) -> DataFrame:
-    """``docs`` with repeated passages cut out of ``text``; their first document keeps them. Every row stays."""
+    """``docs`` with repeated passages cut out of ``text``; the first place of each keeps it. Every row stays."""
     spans = repeated_passages(docs, doc_id, text, settings).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("__llm_spans"))
 
     @F.arrow_udf("string")

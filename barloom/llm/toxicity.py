@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded_batches, texts
+from barloom.llm.common import bounded_batches, refuse_names, texts
 from barloom.llm.training import blocked, fit, sigmoid, summed, with_labels
 
 PRIME = np.uint64(0x100000001B3)
@@ -79,6 +79,7 @@ class ToxicityModel:
 
     def scored(self, docs: DataFrame, text: str = "text", into: str = "score") -> DataFrame:
         """``docs`` with the score (0 to 1, higher: label 1 likelier) of each row; null and empty texts get one too."""
+        refuse_names(docs, into)
         sent = docs.sparkSession.sparkContext.broadcast(self)  # of 2 ** bits weights, whatever the data
 
         @F.arrow_udf("double")
@@ -87,7 +88,7 @@ class ToxicityModel:
             return pa.array([model.score(t, stamp) for t in texts(column)], pa.float64())
 
         self_bits = self.settings.bits
-        return bounded_batches(docs).withColumn(into, score(F.col(text)))
+        return bounded_batches(docs).withColumn(into, score(F.col(f"`{text}`")))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",

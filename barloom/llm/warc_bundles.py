@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded_batches, written
+from barloom.llm.common import bounded_batches
 from barloom.sources.workdir import work_folder
 
 #: Fixed values of the seekable format and of WARC 1.1.
@@ -103,6 +103,14 @@ def read_seek_table(tail: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
+def frames_of(file: pa.NativeFile) -> list[tuple[int, int, int]]:
+    """The seek table of an open bundle: its last bytes tell how long it is."""
+    size = file.size()
+    tail = file.read_at(min(size, 9), size - min(size, 9))
+    full = min(size, 9 + 12 * struct.unpack("<I", tail[:4])[0])
+    return read_seek_table(file.read_at(full, size - full))
+
+
 def records(raw: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
     """(offset, length, fields by lower-case name, block) of each record of a frame."""
     at = 0
@@ -148,8 +156,11 @@ def write_bundles(pages: DataFrame, folder: str, page_id: str = "page_id", url:
 
     The payload is the html in UTF-8, empty for a null. Of pages with one payload of ``least_shared`` bytes or more the
     one with the largest id is the response, the others revisit it; rows that repeat that id are responses too. A null
-    id is never the largest; if all are null, all are responses. An empty table makes no bundle. A task writes each
-    bundle under a name of its own attempt and then moves it into place, so a task that runs twice leaves one.
+    id is never the largest; if all are null, all are responses. An empty table makes no bundle.
+
+    A bundle bears the number of the attempt that wrote it, and the index, a table in ``folder/index`` which Spark
+    commits for one attempt of each task, names it. What a failed or repeated attempt leaves is in no index and is never
+    read, however it was packed.
     """
 
     def bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,14 +178,12 @@ def write_bundles(pages: DataFrame, folder: str, page_id: str = "page_id", url:
         def close_bundle() -> pa.RecordBatch:
             nonlocal number, frames, entries, held
             close_frame()
-            name = f"part-{context.partitionId():05d}-{number:04d}.warc.zst"
-            attempt = f"{root}/.{name}.{context.taskAttemptId()}"
+            name = f"part-{context.partitionId():05d}-{number:04d}-{context.taskAttemptId()}.warc.zst"
             store.create_dir(root, recursive=True)
-            with store.open_output_stream(attempt) as out:
+            with store.open_output_stream(f"{root}/{name}", compression=None) as out:
                 for packed, _ in frames:
                     out.write(packed)
                 out.write(seek_table([(len(p), n) for p, n in frames]))
-            store.move(attempt, f"{root}/{name}")
             rows = pa.RecordBatch.from_pylist([e | {"bundle": name} for e in entries], index_schema)
             number, frames, entries, held = number + 1, [], [], 0
             return rows
@@ -197,7 +206,13 @@ def write_bundles(pages: DataFrame, folder: str, page_id: str = "page_id", url:
          ("offset", pa.int64()), ("length", pa.int64())]
     )
     rows = with_references(pages, page_id, url, html, settings)
-    return written(rows.mapInArrow(bundled, INDEX), "warc-index")
+    rows.mapInArrow(bundled, INDEX).write.parquet(f"{folder}/index")
+    return read_index(pages.sparkSession, folder)
+
+
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The index (:data:`INDEX`) of the archives of a folder."""
+    return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
 RECORD = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string, payload binary"
@@ -228,20 +243,23 @@ _RECORD = pa.schema(
 
 
 def read_bundles(spark: SparkSession, folder: str, keep_payload: bool = False) -> DataFrame:
-    """All records of all bundles of ``folder`` (:data:`RECORD`); payloads are checked, and kept if asked for."""
+    """All records of the bundles that the index of ``folder`` names (:data:`RECORD`), one after the other in a task.
+
+    Payloads are checked, and kept if asked for. A bundle is read frame by frame.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(folder)
         decompressor = zstandard.ZstdDecompressor()
         for batch in batches:
-            for k in range(batch.num_rows):
-                data = batch[0][k].as_buffer()
-                for at, packed, _ in read_seek_table(bytes(data[max(0, len(data) - (1 << 20)) :])):
-                    raw = decompressor.decompress(data[at : at + packed])
-                    rows = [parsed(f, b, keep_payload) for _, _, f, b in records(raw)]
-                    yield pa.RecordBatch.from_pylist(rows, _RECORD)
+            for bundle in batch[0].to_pylist():
+                with store.open_input_file(f"{root}/{bundle}") as file:
+                    for at, packed, _ in frames_of(file):
+                        raw = decompressor.decompress(file.read_at(packed, at))
+                        rows = [parsed(f, b, keep_payload) for _, _, f, b in records(raw)]
+                        yield pa.RecordBatch.from_pylist(rows, _RECORD)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    return files.select("content").mapInArrow(read, RECORD)
+    return read_index(spark, folder).select("bundle").distinct().mapInArrow(read, RECORD)
 
 
 def fetch(index: DataFrame, wanted: DataFrame, folder: str) -> DataFrame:
@@ -253,10 +271,7 @@ def fetch(index: DataFrame, wanted: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for bundle, frame, offset, length in zip(*(batch[c].to_pylist() for c in range(4)), strict=True):
                 with store.open_input_file(f"{root}/{bundle}") as file:
-                    size = file.size()
-                    tail = file.read_at(min(size, 9), size - min(size, 9))
-                    full = 9 + 12 * struct.unpack("<I", tail[:4])[0]
-                    at, packed, _ = read_seek_table(file.read_at(min(size, full), size - min(size, full)))[frame]
+                    at, packed, _ = frames_of(file)[frame]
                     raw = decompressor.decompress(file.read_at(packed, at))
                 _, _, fields, block = next(records(raw[offset : offset + length]))
                 yield pa.RecordBatch.from_pylist([parsed(fields, block, True)], _RECORD)

@@ -5,7 +5,8 @@ import pytest
 
 import corpus_pipeline
 from barloom.llm import (
-    byte_bpe, decontaminate, licenses, line_dedup, quality_model, quality_rules, simhash, substring_dedup, toxicity, warc_bundles,
+    byte_bpe, collocations, decontaminate, filter_audit, licenses, line_dedup, quality_model, quality_rules, sharding, simhash,
+    substring_dedup, toxicity, warc_bundles,
 )
 from barloom.llm.queries import judged
 
@@ -71,12 +72,16 @@ def test_simhash(odd, none):
 
 
 def test_substring_dedup(odd, none, docs_of, clashing):
-    assert substring_dedup.repeated_passages(odd).count() == 0  # rows of one id are one document
-    twice = clashing(docs_of([(1, LONG), (2, LONG), (3, None), (None, LONG)]))
+    # rows of one id are one document; its text begins anew after 997 * 31 words
+    (row,) = substring_dedup.repeated_passages(odd).collect()
+    again = len(" ".join(LONG.split()[: 997 * 31])) + 1
+    assert row.doc_id == row.first_doc_id == 4 and again <= row.start < again + 600 and row.stop == len(LONG) and row.first_start < 600
+    once = " ".join(f"word{i}x{i % 31}" for i in range(60_000))
+    twice = clashing(docs_of([(1, once), (2, once), (3, None), (None, once)]))
     rows = substring_dedup.repeated_passages(twice).collect()
-    assert [(r.doc_id, r.start, r.stop, r.first_doc_id) for r in rows] == [(2, 0, len(LONG), 1)]
+    assert [(r.doc_id, r.start, r.stop, r.first_doc_id) for r in rows] == [(2, 0, len(once), 1)]
     left = {(r.doc_id, None if r.text is None else len(r.text)) for r in substring_dedup.drop_repeats(twice).collect()}
-    assert left == {(1, len(LONG)), (2, 0), (3, None), (None, len(LONG))}
+    assert left == {(1, len(once)), (2, 0), (3, None), (None, len(once))}
     assert substring_dedup.repeated_passages(none).count() == 0
 
 
@@ -140,3 +145,80 @@ def test_warc(spark, tmp_path):
     found = warc_bundles.fetch(index, wanted, str(tmp_path / "w")).collect()
     assert [(r.page_id, bytes(r.payload)) for r in found] == [(4, b"x" * 999)]
     assert warc_bundles.round_trip(pages.limit(0)).count() == 0
+
+
+def test_bundles_of_other_attempts_are_not_read(spark, tmp_path):
+    """A repeated attempt packs otherwise and a broken one leaves half a file: the index names neither."""
+    pages = spark.createDataFrame([(i, "u", f"{i}" * 900) for i in range(40)], "page_id bigint, url string, html string").coalesce(1)
+    other, folder = tmp_path / "other", tmp_path / "w"
+    warc_bundles.write_bundles(pages, str(other), settings=warc_bundles.Bundles(frame_bytes=2000, bundle_bytes=500))
+    index = warc_bundles.write_bundles(pages, str(folder), settings=warc_bundles.Bundles(frame_bytes=4000, bundle_bytes=2000))
+    named = {r.bundle for r in index.select("bundle").distinct().collect()}
+    for file in other.glob("*.warc.zst"):
+        (folder / f"part-00000-0000-99{file.name}").write_bytes(file.read_bytes())
+    (folder / "part-00000-0001-77.warc.zst").write_bytes(next(other.glob("*.warc.zst")).read_bytes()[:50])
+    assert len(list(folder.glob("*.warc.zst"))) > len(named)
+    assert sorted(r.page_id for r in warc_bundles.read_bundles(spark, str(folder)).collect()) == list(range(40))
+    assert sorted(r.page_id for r in warc_bundles.fetch(index, index, str(folder)).collect()) == list(range(40))
+
+
+def test_one_of_each_where_ids_repeat(docs_of):
+    """An id in two groups stands for each on its own."""
+    a, b = "the first text of some length here", "another one with quite different words inside"
+    kept = simhash.keep_one_of_each(docs_of([(3, a), (5, a), (5, b)])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(3, a), (5, b)]
+    kept = simhash.keep_one_of_each(docs_of([(5, b), (5, a), (7, b), (5, b), (None, a), (None, None)])).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted([(0, ""), (5, a), (5, b)])
+
+
+def test_a_column_is_never_replaced(odd, docs_of, labels):
+    model = toxicity.train(odd, labels, label="toxic")
+    with pytest.raises(ValueError, match="score"):
+        model.scored(odd)
+    with pytest.raises(ValueError, match="simhash"):
+        simhash.fingerprints(docs_of(["x"]).withColumnRenamed("lang", "simhash"), into="simhash")
+
+
+def test_columns_with_a_dot(docs_of):
+    docs = docs_of([(1, "some words of a text"), (2, None)]).withColumnRenamed("text", "the.text")
+    assert quality_rules.quality_measures(docs, "the.text").count() == 2
+    assert simhash.fingerprints(docs, "the.text").count() == 2
+    assert simhash.keep_one_of_each(docs, text="the.text").count() == 2
+    assert sharding.sharded(docs, "the.text").count() == 2
+    assert filter_audit.filter_interactions(docs, docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic"), text="the.text").count() == 600
+    assert line_dedup.drop_boilerplate(docs, "source", text="the.text").count() == 2
+
+
+def test_sharding(odd, none):
+    got = sharding.sharded(odd, shards=3).collect()
+    assert len(got) == len(ROWS) and {c for c in got[0].asDict()} == {"doc_id", "size", "text_crc32", "shard", "slot"}
+    by_shard = {}
+    for r in got:
+        by_shard.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in by_shard.values())
+    assert len({r.shard for r in got if r.doc_id == 4}) == 1  # the copies of the long text
+    assert len({r.shard for r in got if r.size == 1}) == 1 and {r.text_crc32 for r in got if r.size == 1} == {0}
+    assert sharding.sharded(none).count() == 0
+    with pytest.raises(ValueError, match="size"):
+        sharding.sharded(odd.withColumnRenamed("lang", "size"), keep=("doc_id", "size"))
+
+
+def test_filter_audit(odd, none, labels):
+    rows = filter_audit.filter_interactions(odd, labels).collect()
+    assert len(rows) == 600 and {r.part for r in rows} == {"s"}
+    for order in {r.filter_order for r in rows}:
+        steps = sorted((r for r in rows if r.filter_order == order), key=lambda r: r.step)
+        assert sum(r.removed for r in steps) + steps[-1].kept == len(ROWS)
+    parts = filter_audit.filter_interactions(odd.selectExpr("doc_id", "text", "IF(doc_id = 4, NULL, '') AS source", "score"), labels)
+    assert parts.select("part").distinct().count() == 1
+    assert filter_audit.filter_interactions(none, labels).count() == 0
+    assert filter_audit.filter_interactions(odd, labels.limit(0)).agg({"good_lost": "max"}).first()[0] == 0
+
+
+def test_collocations(odd, none, spark):
+    got = collocations.collocations(odd).collect()
+    assert got and {r.lang for r in got} == {"en"} and [r.rank for r in got] == list(range(1, len(got) + 1))
+    assert collocations.collocations(none).count() == 0
+    blank = spark.createDataFrame([(None, None), ("", ""), ("x", " ,; \t\n."), (None, "a b " * 20)], "lang string, text string")
+    rows = {(r.lang, r.phrase): (r.a, r.l, r.r, r.n) for r in collocations.collocations(blank).collect()}
+    assert set(rows) == {("und", "a b a"), ("und", "b a b")} and rows["und", "a b a"] == (19, 20, 19, 40)
