@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -34,6 +34,24 @@ def resample_stream(
     )
 
 
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(date, symbol, slot, count) of the windows that a stream of :func:`resample_stream` holds open, from its state.
+
+    ``checkpoint`` is the folder of a query that has stopped; what is read is the state of its last batch. ``count`` is
+    the bars that the window has so far: the last of the state's values, as the count is the last of the statistics.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    buffers = state.schema["value"].dataType.fields  # sums and counts of the statistics, several of one name
+    numbered = ", ".join(f"v{i}: {f.dataType.simpleString()}" for i, f in enumerate(buffers))
+    count = F.col("value").cast(f"struct<{numbered}>").getField(f"v{len(buffers) - 1}")
+    window = F.col("key").getField(state.schema["key"].dataType.names[0])
+    symbol = F.col("key").getField(state.schema["key"].dataType.names[1])
+    last = window.start + F.expr("INTERVAL 9 MINUTES")
+    return state.select(
+        F.to_date(window.start).alias("date"), symbol.alias("symbol"), hhmm(last).alias("slot"), count.alias("count")
+    )
+
+
 def write_stream_by_date(stats: DataFrame, path: str, checkpoint: str, **trigger) -> DataStreamWriter:
     """Writer that appends finished windows to a date-partitioned table.
 

@@ -154,8 +154,12 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     # A glob, because a stream reads folders or patterns, not a single file.
     rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    return tick_columns(rows)
+
+
+def tick_columns(events: DataFrame) -> DataFrame:
     symbol = F.concat(F.lit("U"), F.lpad(F.call_function("div", F.col("user_id"), F.lit(50)).cast("string"), 6, "0"))
-    return rows.select(F.col("ts").cast("timestamp").alias("time"), symbol.alias("symbol"), "value")
+    return events.select(F.col("ts").cast("timestamp").alias("time"), symbol.alias("symbol"), "value")
 
 
 def _null(v) -> str:

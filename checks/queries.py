@@ -937,3 +937,85 @@ def stream_by_date(spark, sf_dir):
     out = stats.resample_stream(fx.ticks(spark, sf_dir), ["value"])
     stats.write_stream_by_date(out, f"{path}/rows", f"{path}/state").start().awaitTermination()
     return fixed(spark.read.parquet(f"{path}/rows").select(*out.columns))
+
+
+# The first quarter of the time without a tenth of its ticks, then the rest up to 11:00 of the last day, then that tenth: too late.
+REPLAY_SQL = f"""WITH span AS (SELECT min(ts) AS a, max(ts) AS z FROM events),
+ticks AS (SELECT ts AS time, 'U' || lpad(CAST(user_id // 50 AS VARCHAR), 6, '0') AS symbol, value, strftime(ts, '%H%M') AS hhmm,
+  event_id % 10 = 0 AND ts < a + (z - a) / 4 AS held FROM events, span WHERE ts < CAST(z AS DATE) + INTERVAL 11 HOUR),
+inside AS (SELECT *, time_bucket(INTERVAL 10 MINUTE, time - INTERVAL 1 MINUTE) + INTERVAL 11 MINUTE AS done FROM ticks
+  WHERE (hhmm BETWEEN '0931' AND '1130' OR hhmm BETWEEN '1301' AND '1500')
+  AND time <= time_bucket(INTERVAL 10 MINUTE, time - INTERVAL 1 MINUTE) + INTERVAL 10 MINUTE),
+mark AS (SELECT max(time) - INTERVAL 2 HOUR AS w FROM ticks WHERE NOT held),
+seen AS (SELECT symbol, done, count(*) AS n FROM inside WHERE NOT held GROUP BY symbol, done)
+SELECT (SELECT count(*) FROM seen, mark WHERE done <= w) AS emitted_windows,
+  (SELECT coalesce(sum(n), 0)::BIGINT FROM seen, mark WHERE done <= w) AS emitted_ticks,
+  (SELECT count(*) FROM seen, mark WHERE done > w) AS open_windows,
+  (SELECT coalesce(sum(n), 0)::BIGINT FROM seen, mark WHERE done > w) AS open_ticks,
+  (SELECT count(*) FROM inside WHERE held) AS late_ticks"""
+
+
+@query(REPLAY_SQL)
+def stream_replay(spark, sf_dir):
+    """The events in three batches, the last of them late, two hours of lateness: what was emitted, waits in the state, was dropped."""
+    folder = work_folder(spark, "replay")
+    events = fx.table(spark, sf_dir, "events")
+    a, z = events.agg(F.min("ts"), F.max("ts")).first()
+    quarter = F.lit(a + (z - a) / 4).cast("timestamp_ntz")
+    events = events.where(F.col("ts") < F.lit(dt.datetime.combine(z.date(), dt.time(11))).cast("timestamp_ntz"))
+    held = (F.col("event_id") % 10 == 0) & (F.col("ts") < quarter)
+    for name, rows in (("1", ~held & (F.col("ts") < quarter)), ("2", ~held & (F.col("ts") >= quarter)), ("3", held)):
+        events.where(rows).coalesce(1).write.parquet(f"{folder}/in/{name}")
+    stream = fx.tick_columns(
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.parquet").parquet(f"{folder}/in/*")
+    )
+    out = stats.resample_stream(stream, ["value"], lateness="2 hours")
+    stats.write_stream_by_date(out, f"{folder}/rows", f"{folder}/state").start().awaitTermination()
+    emitted = spark.read.parquet(f"{folder}/rows").agg(F.count("*").alias("emitted_windows"), F.coalesce(F.sum("count"), F.lit(0)).alias("emitted_ticks"))
+    waiting = stats.open_windows(spark, f"{folder}/state").agg(F.count("*").alias("open_windows"), F.coalesce(F.sum("count"), F.lit(0)).alias("open_ticks"))
+    ticks = fx.tick_columns(events)
+    every = ticks.where(clock.in_session("time") & resample.inside_window("time")).agg(F.count("*").alias("n"))
+    late = F.col("n") - F.col("emitted_ticks") - F.col("open_ticks")
+    return emitted.join(waiting).join(every).withColumn("late_ticks", late).drop("n")
+
+
+@query("SELECT date, symbol, euniv_largemid FROM univ WHERE date = DATE '2024-01-15'")
+def one_date(spark, sf_dir):
+    """One date of a written item: only its folder is read."""
+    path = work_folder(spark, "univ")
+    sinks.write_by_date(fx.univ(spark, sf_dir), path)
+    return readers.read_one_date(spark, path, "20240115").select("date", "symbol", "euniv_largemid")
+
+
+@query(f"""SELECT date, symbol, {', '.join(r(f"CAST(max(CASE WHEN slot = '{s}' THEN {b}_{o} END) AS REAL)", f'{b}_{o}_{s}', 2) for b in DATASET_BARS for o in ('mean', 'std') for s in DATASET_SLOTS)}
+FROM (SELECT date, symbol, slot, {STAT_RAW} FROM slotted GROUP BY date, symbol, slot) GROUP BY date, symbol""")
+def pending_downsample(spark, sf_dir):
+    """Minute bars written in two goes; each time only the dates that the ten-minute table lacks are downsampled."""
+    folder, day = work_folder(spark, "pending"), F.lit("2024-01-15").cast("date")
+    bars = fx.bar_1m(spark, sf_dir).select("date", "symbol", "time", *DATASET_BARS)
+    for some in (bars.where(F.col("date") < day), bars.where(F.col("date") >= day)):
+        sinks.write_by_date(some, f"{folder}/bar_1m", sort=("symbol", "time"))
+        dataset.downsample_pending(spark, f"{folder}/bar_1m", f"{folder}/10m", DATASET_BARS, DATASET_SLOTS)
+    wide = spark.read.parquet(f"{folder}/10m")
+    return fixed(wide.select("date", "symbol", *wide_columns(DATASET_BARS, DATASET_SLOTS)), 2)
+
+
+@query(f"""WITH cells AS (SELECT date, symbol, slot, avg(close) AS cm FROM slotted WHERE slot IN ('0940', '0950', '1000') GROUP BY date, symbol, slot),
+x AS (SELECT date, symbol, avg(cm) AS m FROM cells GROUP BY date, symbol),
+versions AS (SELECT date AS milestone, idx + 1 AS k FROM calendar WHERE idx IN (2, 5, 8)),
+picks AS (SELECT c.date, v.k, row_number() OVER (PARTITION BY c.date ORDER BY v.milestone DESC) AS rank FROM calendar c JOIN versions v ON v.milestone <= c.date)
+SELECT x.date, x.symbol, {r('avg(x.m * k)', 'signal', 3)} FROM x JOIN picks p ON p.date = x.date AND p.rank <= 2 GROUP BY x.date, x.symbol""")
+def version_scores(spark, sf_dir):
+    """Any model by version: the mean of the latest two versions of a model that weighs a mean price by its number."""
+    days = fx.calendar(spark, sf_dir)
+    numbers = {x["date"]: x["idx"] + 1 for x in days.where(F.col("idx").isin([2, 5, 8])).collect()}
+    versions = spark.createDataFrame([(d,) for d in numbers], "milestone date")
+
+    def weighed(x, milestone):
+        import numpy as np
+
+        return np.nanmean(x[:, :, 0], axis=1)[:, None] * numbers[milestone]
+
+    long = resample.resample_long(fx.bar_1m(spark, sf_dir), ["close"])
+    x = matrices.matrix_from_long(long, ["close_mean"], ONLINE_SLOTS)
+    return fixed(scoring.score_versions(x, versions, weighed, ["signal"], (3, 1), n_latest=2), 3)
