@@ -108,7 +108,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     each = written(chunked(docs, doc_id, text, settings), "pieces")
     place = F.struct("doc_id", "start")
-    shared = each.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").drop("last")
+    shared = each.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     again = each.join(shared, ["high", "low"]).filter(F.col("first") < place)
     again = again.select("doc_id", "start", "stop", "words", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"))
     again = again.repartition("doc_id").distinct()  # one shuffle, for what follows too
