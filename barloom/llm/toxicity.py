@@ -28,7 +28,7 @@ class NGrams:
 
     sizes: tuple[int, ...] = (3, 4, 5)
     bits: int = 18
-    most_rows: int = 9_000
+    most_rows: int = 7_500
     prior: float = 100.0
     rounds: int = 8
     rate: float = 1.0
