@@ -254,8 +254,11 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     chosen = F.col("doc_id").eqNullSafe(F.col("component_id"))
     of_id = groups.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__llm_id")).agg(F.count("*").alias("n"), F.bool_or(chosen).alias("stays"))
     own_id, row = F.col(f"`{doc_id}`"), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    single = docs.join(of_id.filter("stays AND n = 1"), own_id == F.col("__llm_id"), "left_semi")
-    several = docs.join(of_id.filter("stays AND n > 1"), own_id == F.col("__llm_id"), "left_semi").unionAll(docs.filter(own_id.isNull()))
+    once = of_id.filter("stays AND n = 1").select("__llm_id")
+    # ids that repeat are few, as a rule: written first, their size decides how texts meet them
+    often = written(of_id.filter("stays AND n > 1").select("__llm_id"), "ids")
+    single = docs.join(once, own_id == F.col("__llm_id"), "left_semi")
+    several = docs.join(often, own_id == F.col("__llm_id"), "left_semi").unionAll(docs.filter(own_id.isNull()))
     several = fingerprints(several.select(own_id.alias("__llm_id"), F.col(f"`{text}`").alias("__llm_text"), row.alias("row")), "__llm_text", "__llm_bits", width)
     meant = groups.filter(chosen).selectExpr("doc_id AS __llm_of", "fingerprint AS __llm_fp", "group_fingerprint AS __llm_group").distinct()
     met = several.join(meant, (as_hex("__llm_bits") == F.col("__llm_fp")) & F.col("__llm_id").eqNullSafe(F.col("__llm_of")))
