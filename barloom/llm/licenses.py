@@ -145,19 +145,20 @@ TRIGGER = r"(?i)licen[cs]e|permission|distribut|warrant|copyright|liable|reserve
 
 #: Marks of comments and quotations that may begin a line.
 _MARKS = r"[ \t]*\r?\n[ \t]*[/*#;%!>|-]*[ \t]*"
-#: Words that no sentence ends with.
-_GOES_ON = r"a|an|the|this|of|on|under|by|to|with|and|or|for|in|at|either|version|gnu|general|lesser|library|affero|apache|mozilla|eclipse|boost|public|software|free|creative|commons|international"
+#: Words that no sentence ends with, and words that names of licences go on with.
+_GOES_ON = r"a|an|the|this|of|on|under|by|to|with|and|or|for|in|at|either|gnu|general|lesser|library|affero|apache|mozilla|eclipse|boost|public|software|free|creative|commons|international"
+_NAME = r"GNU|General|Lesser|Library|Affero|Public|License|Software|Foundation|Free|Apache|Mozilla|Eclipse|Boost|MIT|BSD|ISC|CC|Creative|Commons|Attribution"
 #: What is put on one line before sentences are cut. A tag is a sentence to the end of its line. A line end is within a
-#: sentence where lower case goes on below, or capitals below capitals, or the line ends with a comma or with a word that
-#: must go on. Then versions, whose marks end no sentence.
+#: sentence where lower case goes on below, or capitals below capitals, or a line ends with a word that must go on and a
+#: licence's name goes on below. Then versions, whose marks end no sentence.
 WRAPS = [
     (r"(SPDX-License-Identifier):[ \t]*([^\r\n]*)", "$1 $2."),
     (rf"(Attribution[A-Za-z-]*){_MARKS}(4\.0)", "$1 $2"),
     (rf"(4\.0){_MARKS}(International)", "$1 $2"),
     (rf"([A-Za-z0-9,)\"]){_MARKS}([a-z(])", "$1 $2"),
-    (rf"([A-Z]{{2,}}[,\"]?){_MARKS}([A-Z]{{2,}})", "$1 $2"),
-    (rf"(,){_MARKS}([\"A-Z0-9])", "$1 $2"),
-    (rf"([\s(\"](?i:{_GOES_ON}),?){_MARKS}([\"A-Z0-9])", "$1 $2"),
+    (rf"([A-Z]{{2,}}[,\"]?|\sA){_MARKS}([A-Z]{{2,}})", "$1 $2"),
+    (rf"(,){_MARKS}(Version|[\"0-9])", "$1 $2"),
+    (rf"([\s(\"](?i:{_GOES_ON})){_MARKS}((?:{_NAME})\b|[\"0-9])", "$1 $2"),
     (rf"([ \t(])(?i:v|v\.|version)(?:{_MARKS}|[ \t]*)([0-9])", "$1version $2"),
 ]
 #: Ends of sentences: a line end, or a mark before white space.
@@ -179,7 +180,7 @@ def sentence_ids(text: Column) -> Column:
     """The identifiers of a text's sentences, in order, blank before and after each; ``_`` for a run of others."""
     for pattern, by in WRAPS:
         text = F.regexp_replace(text, pattern, by)
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    known = F.str_to_map(F.lit("\n".join(f"{s}={i}" for s, i in SENTENCES.items())), F.lit("\n"), F.lit("="))
 
     def identifier(sentence: Column) -> Column:
         found = F.try_element_at(known, sentence)
@@ -199,11 +200,13 @@ def licence_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     match no rule. ``sentences``: the identifiers in order. Null, empty and other texts have no row; rows that repeat
     are scanned each. No shuffle; other columns, whatever their names, are not looked at.
     """
+    # out of an array of one: a filter on an expression would compute it twice, and a plain explode adds such a filter
+    known = F.filter(F.array(sentence_ids(F.col("text"))), lambda ids: ids.rlike("[A-Za-z]"))
     scanned = (
         docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
         .filter(F.col("text").rlike(TRIGGER))
-        .select("doc_id", sentence_ids(F.col("text")).alias("sentences"))
-        .filter(F.col("sentences").rlike("[A-Za-z]"))
+        .select("doc_id", F.explode_outer(known).alias("sentences"))
+        .filter("sentences IS NOT NULL")
     )
     rules = F.array(*[F.struct(F.lit(" " + sequence.replace(" ", "  ") + " ").alias("part"), F.lit(name).alias("name")) for sequence, name in RULES])
     start = F.struct(F.col("sentences").alias("left"), F.array().cast("array<string>").alias("found"))
@@ -212,8 +215,11 @@ def licence_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         found = F.when(F.contains(state["left"], rule["part"]), F.array_append(state["found"], rule["name"])).otherwise(state["found"])
         return F.struct(F.replace(state["left"], rule["part"], F.lit(" _ ")).alias("left"), found.alias("found"))
 
-    found = F.array_sort(F.array_distinct(F.aggregate(rules, start, matched, lambda state: state["found"])))
-    licenses = F.when(F.size(found) > 0, F.array_join(found, " AND ")).otherwise("LicenseRef-unknown")
+    def named(state: Column) -> Column:
+        names = F.array_join(F.array_sort(F.array_distinct(state["found"])), " AND ")
+        return F.when(F.size(state["found"]) > 0, names).otherwise("LicenseRef-unknown")
+
+    licenses = F.aggregate(rules, start, matched, named)
     return scanned.select("doc_id", licenses.alias("licenses"), F.trim(F.regexp_replace("sentences", " +", " ")).alias("sentences"))
 
 

@@ -124,6 +124,11 @@ def test_a_wrapped_trigger_is_seen(docs_of):
     assert [r.licenses for r in licenses.licence_scan(docs_of([text])).collect()] == ["LicenseRef-all-rights-reserved"]
 
 
+def test_a_line_that_begins_a_sentence_is_not_joined(docs_of):
+    texts = [f"It went on {end}\nLicensed under CC BY-NC 4.0." for end in ("the,", "the", "of,", "and", "under", "free", "nothing", "THE")]
+    assert [r.licenses for r in licenses.licence_scan(docs_of(texts)).collect()] == ["CC-BY-NC-4.0"] * len(texts)
+
+
 def test_sql_agrees_on_the_notices(docs_of):
     texts = [text for *_, text in CASES] + TALK + ["", None, "1.\n2.\n(a) MIT License"]
     docs = docs_of(texts)
