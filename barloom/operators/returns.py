@@ -28,15 +28,13 @@ HALF_HOURS = (
 HORIZONS = (1, 2, 3, 5)
 
 
-def adjusted_bars(bars_1m: DataFrame, factors: DataFrame, days: int | None = None) -> DataFrame:
-    """Minute bars with the daily adjustment factor of their symbol.
+def adjusted_bars(bars_1m: DataFrame, factors: DataFrame) -> DataFrame:
+    """Minute bars with the daily adjustment factor of their symbol, NULL where there is none.
 
-    ``days``: the caller's word that ``factors`` covers so many days at most. A
-    span of 60 days or less (12 bytes for each symbol-day) is broadcast, so the
-    bars stay where they are; otherwise Spark chooses the join when it runs.
+    Spark chooses the join by size. Tables bucketed alike by date and symbol
+    (:mod:`barloom.sources.bucketed`) are joined where they lie.
     """
-    daily = factors.select(*KEYS, "adj_factor")
-    return bars_1m.join(F.broadcast(daily) if days is not None and days <= 60 else daily, list(KEYS), "left")
+    return bars_1m.join(factors.select(*KEYS, "adj_factor"), list(KEYS), "left")
 
 
 def _named(slot: str) -> str:

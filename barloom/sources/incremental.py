@@ -14,6 +14,9 @@ from barloom.operators.returns import adjusted_bars
 from barloom.sources.readers import in_dates
 from barloom.sources.sinks import loaded_dates, write_by_date
 
+#: Symbol-days that are broadcast at most, of about a hundred bytes each once hashed.
+BROADCAST_ROWS = 1_000_000
+
 
 def load_item(
     spark: SparkSession,
@@ -51,10 +54,15 @@ def load_item(
 
 
 def adjusted_bar_source(bars_1m: DataFrame, factors: DataFrame) -> Callable[[dt.date, dt.date], DataFrame]:
-    """Source of minute bars with their daily adjustment factor, for :func:`load_item`."""
+    """Source of minute bars with their daily adjustment factor, for :func:`load_item`.
+
+    The symbol-days of a span are counted first: up to ``BROADCAST_ROWS`` go to the bars, so that these stay where they
+    are; beyond that Spark chooses the join. For long spans see :func:`barloom.sources.bucketed.bucketed_bar_source`.
+    """
 
     def source(first: dt.date, last: dt.date) -> DataFrame:
-        days = (last - first).days + 1
-        return adjusted_bars(in_dates(bars_1m, first, last), in_dates(factors, first, last), days)
+        daily = in_dates(factors, first, last)
+        small = daily.count() <= BROADCAST_ROWS
+        return adjusted_bars(in_dates(bars_1m, first, last), F.broadcast(daily) if small else daily)
 
     return source

@@ -15,7 +15,7 @@ from barloom.functions.slots import TEN_MINUTE_SLOTS, shift_slot, trading_slots
 from barloom.operators import asof, calendar as cal, datesets, matrices, resample, returns, scaling, splits
 from barloom.plans import alpha, dataset, panel, return_items, return_tables, scoring, training, walk_forward
 from barloom.plans.features import feature_bars, wide_columns
-from barloom.sources import incremental, readers, sinks
+from barloom.sources import bucketed, incremental, readers, sinks
 from barloom.sources.workdir import work_folder
 from barloom.streaming import stats
 from checks import fixtures as fx
@@ -178,6 +178,13 @@ def adj_bars(spark, sf_dir):
     return rows.withColumn("amount", F.round("amount", 2))
 
 
+@query("SELECT b.* REPLACE (round(b.amount, 2) AS amount), f.adj_factor FROM bar_1m b LEFT JOIN adj_factor f USING (date, symbol)")
+def adj_bars_bucketed(spark, sf_dir):
+    bars = bucketed.bucketed(fx.bar_1m(spark, sf_dir), "bar_1m", 16)
+    factors = bucketed.bucketed(readers.read_daily(spark, fx.adj_factor(spark, sf_dir)), "adj_factor", 16)
+    return returns.adjusted_bars(bars, factors).withColumn("amount", F.round("amount", 2))
+
+
 # --- Returns ----------------------------------------------------------------------------------------------------
 
 SPANS = returns.intraday_spans()
