@@ -66,7 +66,7 @@ def test_loads_from_buckets(spark, tables, tmp_path):
     days = spark.createDataFrame([(d,) for d in DAYS], "date date")
     source = bucketed.bucketed_bar_source(spark, "bars_in_buckets", "factors_in_buckets")
     path = str(tmp_path / "loaded")
-    now = dt.datetime(2024, 1, 1, 20)
+    now = dt.datetime(2024, 1, 1, 23, 30)
     assert incremental.load_item(spark, source, path, days, DAYS[5], DAYS[9], now=now) == DAYS[5:10]
     assert spark.read.parquet(path).count() == 5 * 60
 
