@@ -5,6 +5,11 @@ first shuffle (ten rows to one), so a hot symbol-day costs one partial row per
 task. The second shuffle, by (date, symbol), carries only ten-minute rows, of
 which a symbol-day has at most 24. Rows are widened after that shuffle, never
 before it.
+
+Where the ten bars of a window lie in different tasks, nothing is reduced before
+the first shuffle, and a partial row has five numbers for each value. Long rows
+of many bars are therefore made where the minute rows are placed: each is moved
+once, and blocks, aggregates and pivot stay there.
 """
 
 from __future__ import annotations
@@ -99,8 +104,17 @@ class BlockStats:
         return stat_names([f"v{i}" for i in range(min(BLOCK, len(self.bars)))], self.ops)
 
 
+def place(rows: DataFrame, *keys: str | Column) -> DataFrame:
+    """Rows placed by the keys, in as many places as the session has shuffle partitions.
+
+    The number is given, so that adaptive execution does not merge places by the
+    size of rows that are made many times wider there.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def resample_blocks(
-    bars_1m: DataFrame, bars: Sequence[str], ops: Sequence[str] = MEAN_STD, outside: bool = False
+    bars_1m: DataFrame, bars: Sequence[str], ops: Sequence[str] = MEAN_STD, outside: bool = False, together: bool = False
 ) -> BlockStats:
     """Ten-minute statistics of one-minute bars, in blocks of at most 12 bars.
 
@@ -109,6 +123,8 @@ def resample_blocks(
     block). With few bars there is one block and nothing is cut. ``count`` is
     the number of bars in the window. With ``outside``, bars between a window
     and the next are counted too, as ``seen``; no statistic includes them.
+    With ``together``, rows of several blocks are first placed by symbol-day and
+    window, and lie so afterwards: see the head of this module.
     """
     require_columns(bars_1m, ("time", *KEYS, *bars))
     stats = BlockStats(bars_1m, tuple(bars), tuple(ops))
@@ -127,6 +143,8 @@ def resample_blocks(
         return [f"{n} AS block", *[f"{c} AS {v}" for c, v in zip([*map(cell, block), *blanks], names)]]
 
     cut = [fields(n, block) for n, block in enumerate(stats.blocks)]
+    if together and len(cut) > 1:
+        rows = place(rows.select(*KEYS, "window", "__in", *[F.col(f"`{b}`") for b in dict.fromkeys(bars)]), *KEYS, "window")
     if len(cut) > 1:
         cut = [[f"inline(array({', '.join(f'struct({", ".join(f)})' for f in cut)}))"]]
     flat = rows.selectExpr(*KEYS, "window", "__in", *cut[0])
@@ -135,20 +153,25 @@ def resample_blocks(
 
 
 def resample_long(
-    bars_1m: DataFrame, bars: Sequence[str] | None = None, ops: Sequence[str] = MEAN_STD
+    bars_1m: DataFrame, bars: Sequence[str] | None = None, ops: Sequence[str] = MEAN_STD, placed: bool = False
 ) -> DataFrame:
-    """(date, symbol, slot, {bar}_{op}..., count): one row per symbol-day and ten-minute slot."""
+    """(date, symbol, slot, {bar}_{op}..., count): one row per symbol-day and ten-minute slot.
+
+    More bars than a block holds are aggregated where their minute rows are
+    placed, by symbol-day and window. ``placed`` says that they lie by (date,
+    symbol) already: bars derived from a few columns are best placed with
+    :func:`place` before they are made, so that no wide row is shuffled.
+    """
     if bars is None:
         bars = [c for c in bars_1m.columns if c not in ("time", *KEYS)]
-    stats = resample_blocks(bars_1m, bars, ops)
+    stats = resample_blocks(bars_1m, bars, ops, together=not placed)
     slot = window_label(F.col("window")).alias("slot")
     rows = stats.rows.where(F.col("count") > 0)
     if len(stats.blocks) == 1:
         names = zip(stats.values, stat_names(bars, ops))
         return rows.select(*KEYS, slot, *[F.col(v).alias(n) for v, n in names], "count")
-    # Put the blocks of a window side by side again.
-    placed = rows.repartition(*[F.col(k) for k in KEYS])
-    side = _side_by_side(placed, "block", range(len(stats.blocks)), [*stats.values, "count"], [*KEYS, "window"])
+    # Put the blocks of a window side by side again, where they are.
+    side = _side_by_side(rows, "block", range(len(stats.blocks)), [*stats.values, "count"], [*KEYS, "window"])
     picked = [
         f"`{n}_v{i}_{op}` AS `{bar}_{op}`" for n, block in enumerate(stats.blocks) for i, bar in enumerate(block) for op in ops
     ]

@@ -120,8 +120,8 @@ V2_SELECT = ", ".join(f"{V2_SOURCES[i % 6]} * {1 + i % 16} / 1000.0::DOUBLE + {i
 def downsample_v2_bars(spark, sf_dir):
     """All 139 bars of the default feature set, each derived from one of the panel's (off round numbers)."""
     made = [f"{V2_SOURCES[i % 6]} * {1 + i % 16} / 1000.0D + {i}.0000123D AS `{b}`" for i, b in enumerate(V2_BARS)]
-    bars = fx.bar_1m(spark, sf_dir).selectExpr("date", "symbol", "time", *made)
-    return fixed(resample.resample_long(bars, V2_BARS), 4)
+    plain = resample.place(fx.bar_1m(spark, sf_dir).select("date", "symbol", "time", *V2_SOURCES), *resample.KEYS)
+    return fixed(resample.resample_long(plain.selectExpr("date", "symbol", "time", *made), V2_BARS, placed=True), 4)
 
 
 @query("SELECT date, count(*) AS windows, bool_and(n = 10) AS complete FROM "

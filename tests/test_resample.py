@@ -75,6 +75,30 @@ def test_many_bars_give_the_same_as_few(spark):
     assert wide.exceptAll(by_long.select(*wide.columns)).isEmpty()
 
 
+def test_many_bars_are_moved_once(spark):
+    """Minute rows are shuffled, not the blocks made of them; no exchange at all where they lie by symbol-day."""
+    rows = [(s, t, i) for s in ("A", "B", None) for i, t in enumerate(trading_slots())] * 2
+    rows = [(D1, s, t, 0, float(i % 7) if i % 5 else None, k) for k, (s, t, i) in enumerate(rows)]
+    df = bars(spark, rows).withColumn("date", F.expr("IF(n % 3 = 0, NULL, date)"))
+    names = [f"b{i}" for i in range(30)]
+    made = ["date", "symbol", "time", *[f"x * {i + 1} + {i} AS `{n}`" for i, n in enumerate(names)]]
+
+    def exchanges(out):
+        return [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+    loose = resample.resample_long(df.selectExpr(*made), names)
+    at_places = resample.resample_long(resample.place(df.drop("n"), *resample.KEYS).selectExpr(*made), names, placed=True)
+    # the caller's word alone: wrong, and the rows are right all the same
+    wrong = resample.resample_long(df.selectExpr(*made).repartition(3, "time"), names, placed=True)
+    assert len(exchanges(loose)) == len(exchanges(at_places)) == 1
+    assert not any("block" in line for line in exchanges(loose) + exchanges(at_places))
+    few = resample.resample_long(df.selectExpr(*made), ["b0", "b29"])
+    want = few.select("date", "symbol", "slot", *[F.round(c, 6).alias(c) for c in ("b0_mean", "b0_std", "b29_mean", "b29_std")], "count")
+    for out in (loose, at_places, wrong):
+        got = out.select("date", "symbol", "slot", *[F.round(c, 6).alias(c) for c in ("b0_mean", "b0_std", "b29_mean", "b29_std")], "count")
+        assert got.count() == want.count() and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_long_wide_long(spark):
     df = bars(spark, [(D1, "A", t, 0, float(i), 1) for i, t in enumerate(trading_slots("0930", "1030"))] + [(D2, "B", "1301", 0, 2.0, 1)])
     long = resample.resample_long(df, ["x"], ("mean",))
