@@ -33,8 +33,9 @@ def join_dataset(universe: DataFrame, features: DataFrame, returns: DataFrame, l
     return narrow.join(features, keys, "left").selectExpr(*keys, *[f"`{c}`" for c in rest])
 
 
-#: Bytes of dataset rows that are to lie in one place.
-PLACE_BYTES = 64 * 1024 * 1024
+#: Bytes of dataset rows that are to lie in one place. Its pivot, join and sort take some thirty times as much, and hashing
+#: may bring a few places to one task.
+PLACE_BYTES = 16 * 1024 * 1024
 #: Settings of the session while the dataset is written.
 WIDE_SETTINGS = {
     # Two sides that lie by some of the join columns, in as many partitions, are joined where they are.
@@ -93,7 +94,9 @@ def placed_rows(
     narrow = universe.join(returns, keys, "left").join(lag_returns, keys, "left")
     places = Places(universe, 4 * (len(columns) + len(narrow.columns)), place_bytes)
     stats = resample_blocks(bars_1m, bars, MEAN_STD)
-    put = replace(stats, rows=places.put(stats.rows))
+    # narrowed to 32 bits, as they are written, before they are moved
+    narrowed = stats.rows.withColumns({v: F.col(v).cast("float") for v in stats.values})
+    put = replace(stats, rows=places.put(narrowed))
     index = (*KEYS, "__bucket")
     wide = widen_blocks(put, slots, as_float=True, placed=True, index=index).selectExpr(*index, *[f"`{c}`" for c in columns])
     # where AQE sees one side as small it would send it everywhere; both already lie where they meet
@@ -144,7 +147,9 @@ def build_dataset(
     ``sources`` holds ``bar_1m``, ``univ``, ``return`` and ``lag_return`` as
     paths or frames. Tables given by path tell their dates from their folders,
     so no data is read to find the ready ones. Rows are written from where they
-    are put together: see :class:`Places`.
+    are put together: see :class:`Places`. Minute bars in buckets of symbols
+    (``write_by_date`` with a ``table``), given as the frame of that table, are
+    aggregated where they are read.
     """
     names = ("bar_1m", "univ", "return", "lag_return")
     tables = [open_table(spark, sources[n]) for n in names]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from barloom.operators import asof, calendar as cal, datesets, matrices, resampl
 from barloom.plans import alpha, dataset, panel, return_items, return_tables, scoring, training, walk_forward
 from barloom.plans.features import feature_bars, wide_columns
 from barloom.sources import bucketed, incremental, readers, sinks
-from barloom.sources.workdir import work_folder
+from barloom.sources.workdir import work_folder, written_table
 from barloom.streaming import stats
 from checks import fixtures as fx
 
@@ -549,6 +550,8 @@ def incremental_lag_returns(spark, sf_dir):
 
 V2_MADE = [f"{V2_SOURCES[i % 6]} * {1 + i % 16} / 1000.0D + {i}.0000123D AS `{b}`" for i, b in enumerate(V2_BARS)]
 V2_STATS = [f"{b}_{op}" for b in V2_BARS for op in ("mean", "std")]
+# Symbol-days of minute bars in a bucket: some 500 MB at 139 bars, which a task sorts.
+SYMBOL_DAYS = 2000
 
 
 @query(f"WITH full_bars AS (SELECT date, symbol, slot, time, {V2_SELECT} FROM slotted),\n"
@@ -562,13 +565,17 @@ def dataset_v2(spark, sf_dir):
     """The full-width dataset, 139 bars at 24 slots, built from written items and compared in long form."""
     folder, days = work_folder(spark, "dataset"), fx.calendar(spark, sf_dir)
     paths = {name: f"{folder}/{name}" for name in ("bar_1m", "univ", "return", "lag_return")}
-    plain = fx.bar_1m(spark, sf_dir).select("date", "symbol", "time", *V2_SOURCES)
-    sinks.write_by_date(plain.selectExpr("date", "symbol", "time", *V2_MADE), paths["bar_1m"], sort=("symbol", "time"))
+    plain = written_table(fx.bar_1m(spark, sf_dir).select("date", "symbol", "time", *V2_SOURCES), "plain")
     sinks.write_by_date(fx.univ(spark, sf_dir), paths["univ"])
+    # symbols are dealt while bars are six columns; 139 are made of them where they are written
+    buckets = max(spark.sparkContext.defaultParallelism, -(-spark.read.parquet(paths["univ"]).count() // SYMBOL_DAYS))
+    made, table = plain.repartition(buckets, "symbol").selectExpr("date", "symbol", "time", *V2_MADE), f"bar_1m_{uuid.uuid4().hex}"
+    sinks.write_by_date(made, paths["bar_1m"], sort=("symbol", "time"), placed=True, table=table, buckets=buckets)
     rets = return_tables.return_table(plain, days, fx.adj_factor(spark, sf_dir))
     sinks.write_by_date(rets, paths["return"])
     sinks.write_by_date(return_tables.lag_return_table(spark.read.parquet(paths["return"]), days), paths["lag_return"])
-    dataset.build_dataset(spark, paths, f"{folder}/set", V2_BARS)
+    dataset.build_dataset(spark, {**paths, "bar_1m": spark.table(table)}, f"{folder}/set", V2_BARS)
+    spark.sql(f"DROP TABLE {table}")  # the files stay, they are not the catalogue's
     return fixed(resample.unwiden(spark.read.parquet(f"{folder}/set"), V2_STATS), 1)
 
 

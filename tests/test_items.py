@@ -4,12 +4,14 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.operators.calendar import trading_calendar
 from barloom.operators.resample import KEYS
 from barloom.operators.returns import lag_table
 from barloom.plans import dataset, return_items, return_tables
 from barloom.plans.features import wide_columns
+from barloom.sources import sinks
 from checks import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -87,6 +89,36 @@ def test_placed_rows_are_the_joined_rows(spark, panel):
     assert sorted(placed.collect(), key=key) == sorted(joined.collect(), key=key)
 
 
+def test_bars_in_buckets_are_aggregated_where_they_are_read(spark, panel, tmp_path):
+    """By date and dealt by symbol: no partial aggregate is shuffled, and statistics move as 32-bit numbers."""
+    bars, members, rets, lagged = _parts(spark, panel)
+    days = sorted(r["date"] for r in panel[1].collect())[:5]
+    twice = bars.unionByName(bars.limit(40)).withColumn("symbol", F.expr("IF(symbol LIKE '%3', NULL, symbol)"))
+    twice = twice.withColumn("date", F.expr("IF(minute(time) = 7, NULL, date)")).localCheckpoint()
+    path, plain = str(tmp_path / "bars"), str(tmp_path / "plain")
+    sinks.write_by_date(twice, plain, sort=("symbol", "time"))
+    try:
+        sinks.write_by_date(twice, path, sort=("symbol", "time"), table="dealt_bars", buckets=3)
+        dealt = spark.table("dealt_bars")
+        assert dealt.select(twice.columns).exceptAll(twice).isEmpty() and dealt.count() == twice.count()
+        dates = [sorted(r["date"] for r in sinks.loaded_dates(spark, p).collect()) for p in (path, plain)]
+        assert dates[0] == dates[1] == sorted(r["date"] for r in twice.select("date").distinct().collect() if r["date"])
+        with dataset.session_settings(spark, {**dataset.WIDE_SETTINGS, "spark.sql.adaptive.enabled": "false"}):
+            rows = dataset.placed_rows(dealt, members, rets, lagged, BARS, days, SLOTS, place_bytes=1 << 9)
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            got = sorted(rows.collect(), key=lambda r: (r["date"], r["symbol"]))
+        below = plan[plan.index("pivotfirst") :].splitlines()
+        moved = [line for line in below if "Exchange" in line and "Broadcast" not in line]
+        assert len(moved) == 1 and "__bucket" in moved[0]
+        assert any("as float) AS v0_mean" in line for line in below[below.index(moved[0]) :])
+        loose = dataset.dataset_rows(spark.read.parquet(plain), members, rets, lagged, BARS, days, SLOTS)
+        assert got == sorted(loose.collect(), key=lambda r: (r["date"], r["symbol"]))
+    finally:
+        spark.sql("DROP TABLE IF EXISTS dealt_bars")
+    with pytest.raises(ValueError, match="bucket"):
+        sinks.write_by_date(twice, path, table="none")
+
+
 def test_buckets_follow_the_rows_of_a_date(spark):
     d = dt.date(2024, 1, 2)
     rows = [(d, f"s{i}") for i in range(1000)] + [(dt.date(2024, 1, 3), "s0"), (None, "s1")]
